@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_cascade, simhash_ring
+from . import quality_cascade, simhash_ring, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.statistics(table(spark, sf_dir, "documents"))
 
@@ -22,7 +26,7 @@ def op8_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_cascade, op8_simhash_ring)}
+    return {f.__name__: f for f in (op3_difference_cover, op5_quality_cascade, op8_simhash_ring)}
 
 
 def oracle_sql() -> dict[str, str]:
