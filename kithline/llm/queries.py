@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_cascade, simhash_ring, substring_dedup
+from . import huffman_ids, packing, quality_cascade, simhash_ring, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, file = table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    return huffman_ids.read_files(*huffman_ids.encode_corpus(docs, file, end=2))
+
+
 def op3_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+
+
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.statistics(table(spark, sf_dir, "documents"))
 
@@ -26,7 +36,7 @@ def op8_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_difference_cover, op5_quality_cascade, op8_simhash_ring)}
+    return {f.__name__: f for f in (op2_huffman_ids, op3_difference_cover, op4_best_fit_packing, op5_quality_cascade, op8_simhash_ring)}
 
 
 def oracle_sql() -> dict[str, str]:
