@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman_ids, packing, quality_cascade, simhash_ring, substring_dedup
+from . import huffman_ids, lexicon_bpe, packing, quality_cascade, simhash_ring, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +35,12 @@ def op8_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_huffman_ids, op3_difference_cover, op4_best_fit_packing, op5_quality_cascade, op8_simhash_ring)}
+    return {f.__name__: f for f in (op2_huffman_ids, op3_difference_cover, op4_best_fit_packing, op5_quality_cascade, op8_simhash_ring, op10_lexicon_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
