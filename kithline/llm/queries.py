@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import huffman_ids, lexicon_bpe, packing, quality_cascade, simhash_ring, substring_dedup
+from . import compaction, huffman_ids, lexicon_bpe, mpeg_media, packing, perspectives, quality_cascade, simhash_ring, substring_dedup, url_templates
+from .common import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number in a page's last path segment is the document it shows; labels of documents are the pages' labels."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    shown = F.expr("try_cast(regexp_extract(url, '/([0-9]+)(/|\\\\.html)?([?#].*)?$', 1) AS bigint)")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    known = pages.select("page_id", shown.alias("doc_id")).join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("page_id", "bad")
+    return url_templates.judge(pages, known)
+
+
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, file = table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
     return huffman_ids.read_files(*huffman_ids.encode_corpus(docs, file, end=2))
@@ -31,17 +42,59 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.statistics(table(spark, sf_dir, "documents"))
 
 
+def op6_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpeg_media.store_and_read(table(spark, sf_dir, "documents"))
+
+
+def op7_size_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = compaction.compacted(docs, new_path(spark, "sharded")).read()
+    return rows.select("doc_id", F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0)).alias("arrival"), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+
+
 def op8_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.flat(perspectives.rotated(table(spark, sf_dir, "conversations")))
+
+
 def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_huffman_ids, op3_difference_cover, op4_best_fit_packing, op5_quality_cascade, op8_simhash_ring, op10_lexicon_bpe)}
+    own = (op1_url_templates, op2_huffman_ids, op3_difference_cover, op4_best_fit_packing, op5_quality_cascade, op6_mpeg_media, op7_size_tiers, op8_simhash_ring, op9_perspectives, op10_lexicon_bpe)
+    return {f.__name__: f for f in own}
+
+
+OP7_SQL = """
+SELECT doc_id, coalesce(doc_id % 4, 0) AS arrival, CAST(octet_length(encode("text")) AS BIGINT) AS n_bytes, md5("text") AS text_md5, lang, source, n_chars
+FROM documents
+"""
+
+OP9_SQL = """
+WITH turns AS (
+  SELECT conv_id, CAST(coalesce(turn // 1024, 0) AS BIGINT) AS part, turn, coalesce(role, 'unknown') AS role, coalesce("text", '') AS said
+  FROM conversations
+), speakers AS (
+  SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'
+), pieces AS (
+  SELECT t.conv_id, part, speaker, turn, role, said, role = speaker AS own,
+    CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
+    said || '<|end|>' || chr(10) AS body
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), placed AS (
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, speaker ORDER BY turn NULLS FIRST, role, said ROWS UNBOUNDED PRECEDING) AS upto
+  FROM pieces
+)
+SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+  string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, said) AS rendered,
+  coalesce(string_agg(CAST(upto - length(body) AS VARCHAR) || ':' || CAST(upto AS VARCHAR), ',' ORDER BY turn NULLS FIRST, role, said) FILTER (WHERE own), '') AS mask_spans
+FROM placed GROUP BY conv_id, part, speaker
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_size_tiers": OP7_SQL, "op9_perspectives": OP9_SQL}
