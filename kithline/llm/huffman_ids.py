@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import count_partitions, forget, slices, stored, text_column
+from .common import STEP_BYTES, count_partitions, forget, slices, stored, text_column
 from .tokens import encoder, with_end
 
 MAX_BITS = 20
@@ -110,7 +110,7 @@ def token_table(docs: DataFrame, file: str, end: int, doc_id: str = "doc_id", te
     kind = _kind(file)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 2 * STEP_BYTES):
             ids, bounds = with_end(*encoder(file, True).encode(text_column(part, "text")), end)
             raw, at = ids.astype(kind).tobytes(), (bounds * np.dtype(kind).itemsize).astype(np.int32)
             body = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(at), pa.py_buffer(raw)])

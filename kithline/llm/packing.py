@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_column
+from .common import STEP_BYTES, slices, stored, text_column
 from .tokens import encoder, with_end
 
 CAPACITY = 2048
@@ -200,7 +200,7 @@ def cut_pieces(docs: DataFrame, file: str, end: int = 0, doc_id: str = "doc_id",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 2 * STEP_BYTES):
             ids, bounds = with_end(*encoder(file, False).encode(text_column(part, "text")), end)
             raw, sizes = ids.tobytes(), np.diff(bounds)
             number = -(-sizes // capacity)
@@ -245,7 +245,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             columns = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
             yield pa.record_batch(columns | {"sequence_id": pa.array(at["sequence"][i] + bins), "offset": pa.array(at["offset"][i] + copy * size)})
 
-    ranked = pieces.join(base.drop("count"), ["length", "task"]).withColumn("rank", F.col("rank") + F.col("base")).drop("base", "task")
+    ranked = pieces.join(base.drop("count").hint("merge"), ["length", "task"]).withColumn("rank", F.col("rank") + F.col("base")).drop("base", "task")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name in names)
     return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 

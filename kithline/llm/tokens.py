@@ -16,10 +16,13 @@ import numpy as np
 import pyarrow as pa
 
 from .common import buffer_of
-from .spans import WHITE, Words
+from .spans import LOWER, WHITE, Words
 
-#: Distinct units a worker remembers; then it starts anew.
-REMEMBERED = 400_000
+#: Distinct units of each of two generations that a worker remembers; a full younger one becomes the older.
+REMEMBERED = 500_000
+#: Units that one call of the library encodes, with an added token between them (which the library splits a text at), and the longest of them in bytes.
+TOGETHER = 200
+LONG = 4096
 OTHER_WHITE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf")
 
 
@@ -51,8 +54,16 @@ def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """As :func:`units_of` for a tokenizer that drops white space: the words alone."""
-    words = Words(*buffer_of(texts))
+    """As :func:`units_of` for a tokenizer that lower-cases and drops white space: the words alone.
+
+    A-Z are lower-cased here already, so that fewer words are distinct, except
+    before a character that could compose with them, and in a step that holds
+    what may become an added token.
+    """
+    data, offsets = buffer_of(texts)
+    if len(data) and not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
+        data = np.where(np.append(data[1:], 0) < 0x80, LOWER[data], data)
+    words = Words(data, offsets)
     return words.array(), words.bounds
 
 
@@ -70,6 +81,9 @@ class Encoder:
 
     def __init__(self, file: str, words_only: bool):
         self.library, self.cut, self.known = load(file), words_of if words_only else units_of, {}
+        self.older: dict[bytes, bytes] = {}
+        self.between = max(self.library.get_added_tokens_decoder().items())[1].content.encode()
+        self.between_id = self.library.token_to_id(self.between.decode())
 
     def lookup(self, units: list[bytes]) -> list[bytes]:
         """Each distinct unit's ids as little-endian 32-bit integers."""
@@ -77,11 +91,23 @@ class Encoder:
         missing = [u for u in units if u not in known]
         if missing:
             if len(known) > REMEMBERED:
-                known = self.known = {u: known[u] for u in units if u in known}
-            found = self.library.encode_batch([u.decode() for u in missing], add_special_tokens=False)
-            known.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(missing, found, strict=True))
+                self.older, self.known = known, {}
+                known, missing = self.known, units
+            older = self.older
+            known.update((u, older[u]) for u in missing if u in older)
+            missing = [u for u in missing if u not in known]
+            short = [u for u in missing if len(u) <= LONG and b"<|" not in u]
+            for at in range(0, len(short), TOGETHER):
+                some = short[at : at + TOGETHER]
+                ids = np.array(self._ids(self.between.join(some)), "<u4")
+                cuts, raw = np.flatnonzero(ids == self.between_id) * 4, ids.tobytes()
+                known.update((u, raw[a:z]) for u, a, z in zip(some, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)], strict=True))
+            known.update((u, np.array(self._ids(u), "<u4").tobytes()) for u in missing if u not in known)
         return [known[u] for u in units]
 
+    def _ids(self, text: bytes) -> list[int]:
+        return self.library.encode(text.decode(), add_special_tokens=False).ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts as one array and each text's bounds in it."""
         units, bounds = self.cut(texts)
