@@ -65,9 +65,10 @@ def repeated_words(ws: Column, width: int = WINDOW) -> Column:
         steps = lambda q: F.transform(q, lambda x, k: F.least(F.lit(width), F.coalesce(F.get(q, k + 1) - x, F.lit(width))))
         return let(places, lambda q: F.aggregate(steps(q), F.lit(0).cast("long"), lambda a, x: a + x))
 
-    hashes = F.transform(F.sequence(F.lit(1), F.size(ws) - (width - 1)), lambda i: F.xxhash64(F.slice(ws, i, F.lit(width))))
-    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0).cast("long")))
-    return F.when(F.size(ws) >= width, some).otherwise(F.lit(0).cast("long"))
+    none = F.lit(0).cast("long")
+    hashes = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (width - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(width))))
+    some = lambda w: let(hashes(w), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(none))
+    return let(ws, lambda w: F.when(F.size(w) >= width, some(w)).otherwise(none))
 
 
 @dataclass(frozen=True)
@@ -106,8 +107,10 @@ def _with_words(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("__t", F.coalesce(F.col(text).cast("string"), F.lit(""))).withColumn("__w", words(F.col("__t")))
 
 
-def inline(name: str) -> Column:
-    return STATISTICS[name](F.col("__t"), F.col("__w"))
+def of_text(text: Column, body: Callable[[Callable[[str], Column]], Column]) -> Column:
+    """``body`` of a function that gives a statistic of the text by name; the text is cut into words once."""
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    return let(words(whole), lambda ws: body(lambda name: STATISTICS[name](whole, ws)))
 
 
 def order_rules(df: DataFrame, rules: Sequence[Rule], text: str = "text", rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
@@ -116,11 +119,10 @@ def order_rules(df: DataFrame, rules: Sequence[Rule], text: str = "text", rows:
     if not total:
         return [(r, 0.0, 0.0) for r in rules]
     sample = stored(df.select(F.col(text)).sample(min(1.0, rows / total), 7).repartition(2), "cascade-sample")
-    worded = _with_words(sample, text)
     measured = []
     for rule in [Rule("", lambda s: F.lit(False)), *rules]:
         began = time.perf_counter()
-        seen, bad = worded.agg(F.count("*"), F.count_if(rule.rejects(inline))).first()
+        seen, bad = sample.agg(F.count("*"), F.count_if(of_text(F.col(text), rule.rejects))).first()
         measured.append((rule, time.perf_counter() - began, bad / max(1, seen)))
     forget(sample)
     floor = min(m[1] for m in measured)
@@ -138,7 +140,7 @@ def cascade(order: Sequence[Rule], statistic: Callable[[str], Column]) -> Column
 def kept_rows(df: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BASE, *OWN)) -> DataFrame:
     """The rows of ``df`` that no rule rejects, with their columns unchanged."""
     order = [r for r, _, _ in order_rules(df, rules, text)]
-    return _with_words(df, text).filter(cascade(order, inline)).select(*[F.col(f"`{c}`") for c in df.columns])
+    return df.filter(of_text(F.col(text), lambda s: cascade(order, s)))
 
 
 def statistics(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -147,6 +149,7 @@ def statistics(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     given = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     order = [r for r, _, _ in order_rules(given, OWN)]
     worded = _with_words(given, "text")
+    inline = lambda n: STATISTICS[n](F.col("__t"), F.col("__w"))
     counted = worded.select("doc_id", "__t", "__w", *[inline(n).alias(n) for n in names])
     known = lambda n: F.col(n) if n in names else inline(n)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
