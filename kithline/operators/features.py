@@ -77,7 +77,7 @@ def tfidf_cosine(pairs: DataFrame, left: str, right: str, key: str, ngrams: tupl
     top = rows.select(F.explode("grams").alias("gram")).groupBy("gram").count().orderBy(F.desc("count"), "gram").limit(max_features).select("gram")
     listed = rows.select("row", F.explode("grams").alias("gram")).join(F.broadcast(top), "gram").groupBy("row").agg(F.collect_list("gram").alias("grams"))
     w = weights(listed, F.col("grams"), rows.count(), 1, "row", None)
-    a = w.filter(F.col("row").startswith("a")).select(F.substr("row", F.lit(2)).alias("k"), "gram", F.col("weight").alias("w1"))
-    b = w.filter(F.col("row").startswith("b")).select(F.substr("row", F.lit(2)).alias("k"), "gram", F.col("weight").alias("w2"))
-    dot = a.join(b, ["k", "gram"]).groupBy("k").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot"))
-    return pairs.select(key).join(dot, F.col(key).cast("string") == F.col("k"), "left").select(key, F.coalesce("dot", F.lit(0.0)).alias("cosine"))
+    a = w.filter(F.col("row").startswith("a")).select(F.substr("row", F.lit(2)).alias("__k"), "gram", F.col("weight").alias("w1"))
+    b = w.filter(F.col("row").startswith("b")).select(F.substr("row", F.lit(2)).alias("__k"), "gram", F.col("weight").alias("w2"))
+    dot = a.join(b, ["__k", "gram"]).groupBy("__k").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot"))
+    return pairs.select(key).join(dot, F.col(key).cast("string") == F.col("__k"), "left").select(key, F.coalesce("dot", F.lit(0.0)).alias("cosine"))
