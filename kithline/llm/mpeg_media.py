@@ -3,7 +3,8 @@
 :func:`scan` walks a stream: ID3v2 and ID3v1 tags, frames of MPEG 1, 2 and 2.5
 in layers I to III, the Xing/Info table of variable bit rates, and the CRC-16 of
 protected layer III frames.  Where a header is not valid it resynchronises at the
-next place whose frame is followed by a like header or the stream's end.  It
+next place whose frame is followed by a like header or the stream's end; a frame
+that is followed by neither has to have a right checksum, if any.  It
 gives the exact duration (samples and rate), and where each frame begins.
 
 :func:`wrap` stores a payload of 576 bytes a frame, which is the number of
@@ -154,6 +155,13 @@ def _seek_table(data: bytes, at: int, head: Header) -> tuple[str, int, int, byte
     return name.decode(), int.from_bytes(got[0], "big"), int.from_bytes(got[1], "big"), got[2]
 
 
+def _checksum(data: bytes, at: int, head: Header) -> bool | None:
+    """Whether the checksum of a protected layer III frame is right; ``None``: it has none."""
+    if not head.protected or head.layer != 3:
+        return None
+    return crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + head.side]) == int.from_bytes(data[at + 4 : at + 6], "big")
+
+
 def scan(data: bytes) -> Stream:
     out = Stream()
     at, end = _id3v2(data, out.tags), len(data)
@@ -165,10 +173,10 @@ def scan(data: bytes) -> Stream:
     while at + 4 <= end:
         head = header(int.from_bytes(data[at : at + 4], "big"))
         fits = head is not None and at + head.length <= end and (out.kind is None or head.kind == out.kind)
-        if fits and not synced:
+        if fits:
             after = at + head.length
             later = header(int.from_bytes(data[after : after + 4], "big")) if after + 4 <= end else None
-            fits = after == end or later is not None and later.kind == head.kind
+            fits = after == end or later is not None and later.kind == head.kind or synced and _checksum(data, at, head) is not False
         if not fits:
             synced = False
             onward = data.find(b"\xff", at + 1, end)
@@ -186,9 +194,7 @@ def scan(data: bytes) -> Stream:
             out.lengths.append(head.length)
             out.kbps.add(head.kbps)
             out.samples += head.samples
-        if head.protected and head.layer == 3:
-            covered = data[at + 2 : at + 4] + data[at + 6 : at + 6 + head.side]
-            out.bad_checksums += crc16(covered) != int.from_bytes(data[at + 4 : at + 6], "big")
+        out.bad_checksums += _checksum(data, at, head) is False
         at += head.length
     out.skipped += end - at
     return out
