@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -84,6 +85,22 @@ def slices(batches: Iterable[pa.RecordBatch], name: str, limit: int = STEP_BYTES
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
+
+
+def frugal() -> None:
+    """Let a worker's C library map arrays of over 256 KB on their own, so that freed ones return to the system at once."""
+    tune = getattr(ctypes.CDLL(None), "mallopt", None)
+    if tune is not None:
+        tune(-3, 1 << 18)  # M_MMAP_THRESHOLD
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def ascii_lower(col):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import STEP_BYTES, slices, stored, text_column
-from .tokens import encoder, with_end
+from .tokens import REMEMBERED, encoder, with_end
 
 CAPACITY = 2048
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((size, copies), ...), bins
@@ -192,16 +192,17 @@ def _intervals(patterns: list[Pattern]) -> dict[str, np.ndarray]:
     return dict(zip(("size", "first", "copies", "sequence", "offset"), table.T.copy(), strict=True))
 
 
-def cut_pieces(docs: DataFrame, file: str, end: int = 0, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def cut_pieces(docs: DataFrame, file: str, end: int = 0, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False, step: int = 2 * STEP_BYTES, remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of every document's ids, with each one's rank among pieces of its length in its task.
 
-    ``with_ids`` adds the ids themselves (little-endian 32-bit integers).
+    ``with_ids`` adds the ids themselves (little-endian 32-bit integers).  Text
+    bytes of a ``step`` and units ``remembered`` trade a worker's memory for time.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for part in slices(batches, "text", 2 * STEP_BYTES):
-            ids, bounds = with_end(*encoder(file, False).encode(text_column(part, "text")), end)
+        for part in slices(batches, "text", step):
+            ids, bounds = with_end(*encoder(file, False, remembered).encode(text_column(part, "text")), end)
             raw, sizes = ids.tobytes(), np.diff(bounds)
             number = -(-sizes // capacity)
             doc = np.repeat(np.arange(len(sizes)), number)
@@ -250,9 +251,9 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, file: str, end: int = 0, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, file: str, end: int = 0, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = False, **memory: int) -> DataFrame:
     """Every document's pieces with their places in sequences of at most ``capacity`` ids."""
-    return place(stored(cut_pieces(docs, file, end, doc_id, text, capacity, with_ids), "pieces"), capacity)
+    return place(stored(cut_pieces(docs, file, end, doc_id, text, capacity, with_ids, **memory), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

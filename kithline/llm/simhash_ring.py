@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, forget, slices, stored, text_column
+from .common import STEP_BYTES, buffer_of, forget, frugal, slices, stored, text_column
 from .spans import LOWER, Words
 
 SEED = 42
@@ -79,7 +79,8 @@ def fingerprint_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """doc_id and fingerprint (the 64 bits as a long) of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        frugal()
+        for part in slices(batches, "text", STEP_BYTES // 4):
             yield pa.record_batch({"doc_id": part.column(0), "fp": pa.array(fingerprints(text_column(part, "text"), shingle).view(np.int64))})
 
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -39,13 +39,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, slices, stored, text_column
+from .common import buffer_of, frugal, give_back, slices, stored, text_column
 from .spans import Words, rolling
 
 WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+#: Text bytes of a chunk, about; a longer text is a chunk of its own.
+CHUNK_BYTES = 3 << 20
 #: Anchors a bucket holds on average, at most.
 BUCKET_ANCHORS = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -70,9 +72,10 @@ def _unpack(body: bytes, *kinds: type) -> list[np.ndarray]:
 
 def _as_chunks(doc_id: str, text: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         first = TaskContext.get().partitionId() << 32
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for k, part in enumerate(slices(batches, text)):
+        for k, part in enumerate(slices(batches, text, CHUNK_BYTES)):
             ids = part.column(part.schema.get_field_index(doc_id)).fill_null(LAST).to_numpy(zero_copy_only=False)
             part = part.take(pa.array(np.argsort(ids, kind="stable")))
             sink = pa.BufferOutputStream()
@@ -133,7 +136,9 @@ class Chunk:
     def _answers(buckets: np.ndarray, told: dict[int, np.ndarray]) -> np.ndarray:
         """The bitmaps of ascending buckets as one array."""
         out = np.zeros(len(buckets), bool)
-        heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else np.zeros(0, int)
+        if not len(buckets):
+            return out
+        heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
         for a, z in zip(heads.tolist(), [*heads[1:].tolist(), len(buckets)], strict=True):
             if (bits := told.get(int(buckets[a]))) is not None:
                 out[a:z] = np.unpackbits(bits, count=z - a)
@@ -165,18 +170,21 @@ def _rows_of(buckets: np.ndarray, chunk: int, pack: Callable[[int, int], bytes])
 
 def _send_anchors(names: tuple[str, str], log: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for k in range(batch.num_rows):
                 distinct, counts, _, _ = Chunk(batch.column(1)[k].as_py(), *names, log).anchors()
                 low = distinct.astype(np.uint32)
                 pack = lambda a, z, low=low, counts=counts: _pack(np.diff(low[a:z], prepend=np.uint32(0)), np.packbits(counts[a:z] > 1))
                 yield _rows_of(distinct >> np.uint64(32), batch.column(0)[k].as_py(), pack)
+        give_back()
 
     return run
 
 
 def _send_windows(names: tuple[str, str], log: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for k in range(batch.num_rows):
                 chunk = Chunk(batch.column(1)[k].as_py(), *names, log)
@@ -191,6 +199,7 @@ def _send_windows(names: tuple[str, str], log: int) -> Callable:
                     return _pack(value[a:z], own[heads], np.diff(np.r_[heads, z - a]).astype(np.int32))
 
                 yield _rows_of(buckets, batch.column(0)[k].as_py(), pack)
+        give_back()
 
     return run
 
@@ -262,10 +271,12 @@ def _prepared(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
 
 
 def _judged(batches: Iterable[pa.RecordBatch], doc_id: str, text: str, log: int) -> Iterator[tuple[Chunk, np.ndarray]]:
+    frugal()
     for batch in batches:
         for k in range(batch.num_rows):
             chunk = Chunk(batch.column(1)[k].as_py(), doc_id, text, log)
             yield chunk, chunk.removed(_told(batch.column(2), k), _told(batch.column(3), k))
+    give_back()
 
 
 def _kept_texts(chunk: Chunk, gone: np.ndarray) -> tuple[np.ndarray, list[bytes]]:

@@ -73,13 +73,17 @@ def spread(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> tuple[np
     own = lengths[index]
     upto = np.zeros(len(index) + 1, np.int64)
     np.cumsum(own, out=upto[1:])
-    return flat[np.repeat(starts[index] - upto[:-1], own) + np.arange(upto[-1])], upto
+    kind = np.int32 if max(len(flat), int(upto[-1])) < 1 << 31 else np.int64
+    at = np.repeat((starts[index] - upto[:-1]).astype(kind), own)
+    at += np.arange(upto[-1], dtype=kind)
+    return flat[at], upto
 
 
 class Encoder:
     """Ids of texts by the library."""
 
-    def __init__(self, file: str, words_only: bool):
+    def __init__(self, file: str, words_only: bool, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.library, self.cut, self.known = load(file), words_of if words_only else units_of, {}
         self.older: dict[bytes, bytes] = {}
         self.between = max(self.library.get_added_tokens_decoder().items())[1].content.encode()
@@ -90,7 +94,7 @@ class Encoder:
         known = self.known
         missing = [u for u in units if u not in known]
         if missing:
-            if len(known) > REMEMBERED:
+            if len(known) > self.remembered:
                 self.older, self.known = known, {}
                 known, missing = self.known, units
             older = self.older
@@ -120,14 +124,15 @@ class Encoder:
         return ids, upto[bounds]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(file: str, words_only: bool) -> Encoder:
+def encoder(file: str, words_only: bool, remembered: int = REMEMBERED) -> Encoder:
     """This process's encoder of a file."""
-    if (file, words_only) not in _ENCODERS:
-        _ENCODERS[file, words_only] = Encoder(file, words_only)
-    return _ENCODERS[file, words_only]
+    key = file, words_only, remembered
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
