@@ -26,24 +26,34 @@ def _guarded(a: Column, b: Column, value: Column) -> Column:
     return F.when((a == "") & (b == ""), 1.0).when((a == "") | (b == ""), 0.0).otherwise(value)
 
 
-def _words(col: Column) -> Column:
+def words(col: Column) -> Column:
+    """White-space tokens, in order."""
     return F.array_remove(F.split(col, f"[{WS}]+"), "")
 
 
+def word_set(col: Column) -> Column:
+    return F.array_distinct(words(col))
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
-def jaccard(a: Column, b: Column, tokenize: bool = True) -> Column:
-    """Of the sets of tokens, or of characters."""
-    parts = _words if tokenize else (lambda c: F.array_remove(F.split(c, ""), ""))
-    x, y = F.array_distinct(parts(a)), F.array_distinct(parts(b))
-    return _guarded(a, b, _share(F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))))
+def set_jaccard(x: Column, y: Column) -> Column:
+    """Of two arrays of distinct values; the union's size follows from the intersection's."""
+    both = F.size(F.array_intersect(x, y))
+    return _share(both, F.size(x) + F.size(y) - both)
+
+
+def jaccard(a: Column, b: Column, tokenize: bool = True, x: Column | None = None, y: Column | None = None) -> Column:
+    """Of the sets of tokens, or of characters; ``x`` and ``y``: sets that are known already."""
+    parts = word_set if tokenize else (lambda c: F.array_distinct(F.array_remove(F.split(c, ""), "")))
+    return _guarded(a, b, set_jaccard(parts(a) if x is None else x, parts(b) if y is None else y))
 
 
-def token_overlap(a: Column, b: Column) -> Column:
+def token_overlap(a: Column, b: Column, x: Column | None = None, y: Column | None = None) -> Column:
     """Share of a's distinct tokens that b has."""
-    x, y = F.array_distinct(_words(a)), _words(b)
+    x, y = word_set(a) if x is None else x, word_set(b) if y is None else y
     return _guarded(a, b, _share(F.size(F.array_intersect(x, y)), F.size(x)))
 
 
@@ -53,11 +63,11 @@ def ngrams(col: Column, n: int) -> Column:
     return F.when(F.length(col) >= n, F.array_distinct(some)).otherwise(F.array().cast("array<string>"))
 
 
-def ngram_overlap(a: Column, b: Column, n: int = 3) -> Column:
+def ngram_overlap(a: Column, b: Column, n: int = 3, x: Column | None = None, y: Column | None = None) -> Column:
     """Jaccard of n-gram sets; guards are on the sets, so two short strings are alike."""
-    x, y = ngrams(a, n), ngrams(b, n)
-    value = _share(F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y)))
-    return F.when((F.size(x) == 0) & (F.size(y) == 0), 1.0).when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(value)
+    x, y = ngrams(a, n) if x is None else x, ngrams(b, n) if y is None else y
+    short_a, short_b = F.length(a) < n, F.length(b) < n
+    return F.when(short_a & short_b, 1.0).when(short_a | short_b, 0.0).otherwise(set_jaccard(x, y))
 
 
 def relative_difference(x: Column, y: Column) -> Column:
@@ -68,8 +78,8 @@ def length_difference(a: Column, b: Column) -> Column:
     return relative_difference(F.length(a), F.length(b))
 
 
-def token_count_difference(a: Column, b: Column) -> Column:
-    return relative_difference(F.size(_words(a)), F.size(_words(b)))
+def token_count_difference(a: Column, b: Column, n: Column | None = None, m: Column | None = None) -> Column:
+    return relative_difference(F.size(words(a)) if n is None else n, F.size(words(b)) if m is None else m)
 
 
 def positional_ratio(a: Column, b: Column, max_len: int = 200) -> Column:
@@ -146,5 +156,5 @@ def partial_ratio(a: Column, b: Column) -> Column:
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:
-    in_order = lambda c: F.array_join(F.array_sort(_words(safe(c))), " ")
+    in_order = lambda c: F.array_join(F.array_sort(words(safe(c))), " ")
     return _ratio("edit")(in_order(a), in_order(b))

@@ -25,12 +25,20 @@ def feature_names() -> list[str]:
 
 
 def looked_up(pairs: DataFrame, s1: DataFrame, cands: DataFrame) -> DataFrame:
-    """Pairs with the normalised name, address and country of both sides (n1, a1, c1, n2, a2, c2); unknown ids have empty ones."""
+    """Pairs with the normalised name, address and country of both sides (n1, a1, c1, n2, a2, c2), unknown ids with empty ones.
+
+    Token sets of names and addresses (x1, y1, x2, y2) and the names' token
+    counts (t1, t2) are made once for each record, before the join.
+    """
+
     def side(df: DataFrame, key: str, k: str) -> DataFrame:
-        return df.select(F.col("entity_id").alias(key), F.col("business_name_normalized").alias(f"n{k}"), F.col("business_address_normalized").alias(f"a{k}"), F.col("country_normalized").alias(f"c{k}"))
+        name, address = F.col("business_name_normalized"), F.col("business_address_normalized")
+        made = {"n": name, "a": address, "c": F.col("country_normalized"), "x": sim.word_set(name), "y": sim.word_set(address), "t": F.size(sim.words(name))}
+        return df.select(F.col("entity_id").alias(key), *[v.alias(n + k) for n, v in made.items()])
 
     joined = pairs.select(S1, CAND).join(side(s1, S1, "1"), S1, "left").join(side(cands, CAND, "2"), CAND, "left")
-    return joined.select(S1, CAND, *[F.coalesce(c, F.lit("")).alias(c) for c in ("n1", "a1", "c1", "n2", "a2", "c2")])
+    none = {"n": F.lit(""), "a": F.lit(""), "c": F.lit(""), "x": F.array().cast("array<string>"), "y": F.array().cast("array<string>"), "t": F.lit(0)}
+    return joined.select(S1, CAND, *[F.coalesce(F.col(n + k), v).alias(n + k) for k in "12" for n, v in none.items()])
 
 
 def _flag(condition: Column) -> Column:
@@ -38,13 +46,15 @@ def _flag(condition: Column) -> Column:
 
 
 def expressions(settings: Settings | None = None) -> dict[str, Column]:
-    """Each feature over the columns that :func:`looked_up` gives."""
-    n1, a1, c1, n2, a2, c2 = map(F.col, ("n1", "a1", "c1", "n2", "a2", "c2"))
+    """Each feature over the columns that :func:`looked_up` gives and the n-gram sets g31, g32, g21, g22 (names), h31, h32 (addresses)."""
+    n1, a1, c1, x1, y1, t1 = (F.col(f"{n}1") for n in "nacxyt")
+    n2, a2, c2, x2, y2, t2 = (F.col(f"{n}2") for n in "nacxyt")
+    g = F.col
     cut = (settings or Settings()).edit_max_len
     made = [
-        _flag((n1 == n2) & (n1 != "")), sim.jaccard(n1, n2), sim.token_overlap(n1, n2), sim.token_overlap(n2, n1), sim.edit_similarity(n1, n2, cut), sim.partial_ratio(n1, n2),
-        sim.token_sort_ratio(n1, n2), sim.ngram_overlap(n1, n2, 3), sim.ngram_overlap(n1, n2, 2), sim.length_difference(n1, n2), sim.token_count_difference(n1, n2),
-        sim.jaccard(a1, a2), sim.token_overlap(a1, a2), sim.token_overlap(a2, a1), sim.edit_similarity(a1, a2, cut), sim.ngram_overlap(a1, a2, 3), sim.length_difference(a1, a2),
+        _flag((n1 == n2) & (n1 != "")), sim.jaccard(n1, n2, x=x1, y=x2), sim.token_overlap(n1, n2, x1, x2), sim.token_overlap(n2, n1, x2, x1), sim.edit_similarity(n1, n2, cut), sim.partial_ratio(n1, n2),
+        sim.token_sort_ratio(n1, n2), sim.ngram_overlap(n1, n2, 3, g("g31"), g("g32")), sim.ngram_overlap(n1, n2, 2, g("g21"), g("g22")), sim.length_difference(n1, n2), sim.token_count_difference(n1, n2, t1, t2),
+        sim.jaccard(a1, a2, x=y1, y=y2), sim.token_overlap(a1, a2, y1, y2), sim.token_overlap(a2, a1, y2, y1), sim.edit_similarity(a1, a2, cut), sim.ngram_overlap(a1, a2, 3, g("h31"), g("h32")), sim.length_difference(a1, a2),
         _flag((c1 == c2) & (c1 != "")),
         _flag(n1 == ""), _flag(n2 == ""), _flag(a1 == ""), _flag(a2 == ""), _flag(c1 == ""), _flag(c2 == ""),
         _flag(F.col(CAND).startswith(PREFIXES["S2"])),
@@ -55,7 +65,8 @@ def expressions(settings: Settings | None = None) -> dict[str, Column]:
 def extract(pairs: DataFrame, s1: DataFrame, cands: DataFrame, settings: Settings | None = None, only: list[str] | None = None) -> DataFrame:
     """Pair ids and features (all, or those named)."""
     made = expressions(settings)
-    return looked_up(pairs, s1, cands).select(S1, CAND, *[made[n].alias(n) for n in only or FEATURES])
+    grams = {f"{w}{n}{k}": sim.ngrams(F.col(f"{c}{k}"), n) for w, c, n in (("g", "n", 3), ("g", "n", 2), ("h", "a", 3)) for k in (1, 2)}
+    return looked_up(pairs, s1, cands).withColumns(grams).select(S1, CAND, *[made[n].alias(n) for n in only or FEATURES])
 
 
 def tfidf_cosine(pairs: DataFrame, left: str, right: str, key: str, ngrams: tuple[int, int] = (1, 2), max_features: int = 10_000) -> DataFrame:
