@@ -36,6 +36,8 @@ from .tokens import spread, units_of
 
 #: Words of the lexicon, and words that a task names, at most.
 LEXICON = 1 << 16
+#: Parts of words whose merges a worker remembers; then it starts anew.
+REMEMBERED = 300_000
 #: Longer words are left to the merges.
 WORD_BYTES = 64
 
@@ -111,7 +113,7 @@ def compiled(words: list[bytes], file: str) -> bytes:
     """The lexicon as one file: a line that describes the arrays, then the arrays."""
     words = sorted(words)
     made, merges = Automaton(words), Merges(file)
-    ids = [merges.encode(w) for w in words]
+    ids = [np.frombuffer(x, "<u4") for x in merges.encode_many(words)]
     arrays = {
         "keys": np.array(made.keys, "<i8"), "targets": np.array(made.targets, "<i4"), "skips": np.array(made.skips, "<i4"), "final": np.array(made.final, "u1"),
         "lengths": np.array([len(x) for x in ids], "<i8"), "ids": np.concatenate(ids).astype("<u4") if ids else np.zeros(0, "<u4"),
@@ -126,7 +128,13 @@ def compiled(words: list[bytes], file: str) -> bytes:
 
 
 class Merges:
-    """Exact merges of one word: pattern, then byte pairs by rank, as the tokenizer file has them."""
+    """Exact merges of words: pattern, then byte pairs by rank, as the tokenizer file has them.
+
+    Each word merges its pair of the lowest rank, the leftmost of equal ones, and
+    then looks again; all words of a call take a step together.
+    """
+
+    NONE = np.iinfo(np.int32).max
 
     def __init__(self, file: str):
         import regex
@@ -134,76 +142,93 @@ class Merges:
         with open(file, encoding="utf-8") as f:
             model = json.load(f)
         vocab, merges = model["model"]["vocab"], model["model"]["merges"]
-        shown = byte_names()
-        as_bytes = {c: bytes([b]) for b, c in enumerate(shown)}
+        as_bytes = {c: bytes([b]) for b, c in enumerate(byte_names())}
         raw = lambda s: b"".join(as_bytes[c] for c in s)
         added = {t["content"]: t["id"] for t in model["added_tokens"]}
-        self.added = {t.encode(): i for t, i in added.items()}
-        self.ids = {raw(t): i for t, i in vocab.items() if t not in added}
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in merges)
-        self.ranks = {(raw(a), raw(b)): r for r, (a, b) in enumerate(pairs)}
+        self.added = {t.encode(): np.array([i], "<u4").tobytes() for t, i in added.items()}
+        ids = {raw(t): i for t, i in vocab.items() if t not in added}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        left, right = (np.array([ids[raw(p[k])] for p in pairs], np.int64) for k in (0, 1))
+        self.made = np.array([ids[raw(a + b)] for a, b in pairs], np.int32)
+        self.base = max(vocab.values()) + 1
+        order = np.argsort(left * self.base + right)
+        self.keys, self.ranks = (left * self.base + right)[order], order.astype(np.int32)
+        self.bytes = np.array([ids[bytes([b])] for b in range(256)], np.int32)
+        first, second = np.divmod(np.arange(1 << 16), 256)
+        self.byte_ranks = self.rank(self.bytes[first], self.bytes[second])
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        self.special = regex.compile("|".join(map(regex.escape, added)).encode()) if added else None
-        self.known: dict[bytes, list[int]] = {}
-
-    def encode(self, word: bytes) -> list[int]:
+        self.special = regex.compile(b"|".join(map(regex.escape, self.added))) if added else None
+        self.known = dict(self.added)
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The merge ranks of pairs of ids."""
+        key = a.astype(np.int64) * self.base + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.NONE)
+
+    def pieces(self, word: bytes) -> list[bytes]:
+        """The parts that the pattern cuts a word into, added tokens whole."""
+        if word[word[:1] == b" " :].isalpha():
+            return [word]
         out, at = [], 0
-        for m in self.special.finditer(word) if self.special else ():
-            out += self._plain(word[at : m.start()])
-            out.append(self.added[m.group()])
+        for m in self.special.finditer(word) if self.special and b"<" in word else ():
+            out += [x.encode() for x in self.cut.findall(word[at : m.start()].decode())] + [m.group()]
             at = m.end()
-        return out + self._plain(word[at:])
-
-    def _plain(self, word: bytes) -> list[int]:
-        out: list[int] = []
-        for piece in self.cut.findall(word.decode()):
-            raw = piece.encode()
-            if raw not in self.known:
-                if len(self.known) > 300_000:
-                    self.known.clear()
-                self.known[raw] = self.merged(raw)
-            out += self.known[raw]
-        return out
-
-    def merged(self, word: bytes) -> list[int]:
-        if word in self.ids and len(word) == 1:
-            return [self.ids[word]]
-        parts, ranks, none = [word[i : i + 1] for i in range(len(word))], self.ranks, 1 << 60
-        score = [ranks.get(p, none) for p in zip(parts, parts[1:], strict=False)]
-        if len(parts) > 200:
-            return self._long(parts)
-        while score and (best := min(score)) < none:
-            i = score.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del score[i]
-            if i < len(score):
-                score[i] = ranks.get((parts[i], parts[i + 1]), none)
-            if i:
-                score[i - 1] = ranks.get((parts[i - 1], parts[i]), none)
-        return [self.ids[p] for p in parts]
-
-    def _long(self, parts: list[bytes]) -> list[int]:
-        """The same merges by a heap over linked parts, for very long words."""
-        import heapq
-
-        ranks, n = self.ranks, len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := ranks.get((parts[i], parts[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] != a or j >= n or parts[j] != b:
-                continue
-            parts[i], parts[j] = a + b, b""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := ranks.get((parts[i], parts[after[i]]))) is not None:
-                    heapq.heappush(heap, (r, i, parts[i], parts[after[i]]))
-            if (h := before[i]) >= 0 and (r := ranks.get((parts[h], parts[i]))) is not None:
-                heapq.heappush(heap, (r, h, parts[h], parts[i]))
-        return [self.ids[p] for p in parts if p]
+        return out + [x.encode() for x in self.cut.findall(word[at:].decode())]
+
+    def encode_many(self, words: list[bytes]) -> list[bytes]:
+        """Each word's ids as little-endian 32-bit integers."""
+        cut = [self.pieces(w) for w in words]
+        if len(self.known) > REMEMBERED:
+            self.known = dict(self.added)
+        known = self.known
+        new = list({p for ps in cut for p in ps if p not in known})
+        flat, lengths = self.merged(new)
+        raw, ends = flat.tobytes(), np.cumsum(lengths) * 4
+        known.update((p, raw[a:z]) for p, a, z in zip(new, (ends - 4 * lengths).tolist(), ends.tolist(), strict=True))
+        return [b"".join(known[p] for p in ps) for ps in cut]
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words as one array, and how many each has."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        out_lengths, done = lengths.copy(), []
+        word = np.repeat(np.arange(len(words)), lengths)
+        symbol, rank = self.bytes[data], np.full(len(data), self.NONE, np.int32)
+        if len(data) > 1:
+            same = np.flatnonzero(word[1:] == word[:-1])
+            rank[same] = self.byte_ranks[data[same].astype(np.int64) << 8 | data[same + 1]]
+        while len(symbol):
+            heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            size = np.diff(np.r_[heads, len(word)])
+            best = np.minimum.reduceat(rank, heads)
+            ended = best == self.NONE
+            if ended.any():
+                stay = np.repeat(~ended, size)
+                done.append((word[~stay], symbol[~stay]))
+                word, symbol, rank = word[stay], symbol[stay], rank[stay]
+                size, best = size[~ended], best[~ended]
+                if not len(symbol):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(best, size))
+            at = hit[np.r_[True, word[hit[1:]] != word[hit[:-1]]]]
+            symbol[at] = self.made[best]
+            out_lengths[word[at]] -= 1
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            word, symbol, rank = word[keep], symbol[keep], rank[keep]
+            at -= np.arange(len(at))
+            rank[at] = self.NONE
+            follows = at[at + 1 < len(word)]
+            follows = follows[word[follows + 1] == word[follows]]
+            rank[follows] = self.rank(symbol[follows], symbol[follows + 1])
+            before = at[at > 0] - 1
+            before = before[word[before] == word[before + 1]]
+            rank[before] = self.rank(symbol[before], symbol[before + 1])
+        if not done:
+            return np.zeros(0, "<u4"), out_lengths
+        order = np.argsort(np.concatenate([w for w, _ in done]), kind="stable")
+        return np.concatenate([x for _, x in done])[order].astype("<u4"), out_lengths
 
 
 def byte_names() -> list[str]:
@@ -272,9 +297,9 @@ class Lexicon:
         coded = units.dictionary_encode()
         number = self.numbers(coded.dictionary)
         other = np.flatnonzero(number < 0)
-        merged = [self.merges.encode(w) for w in coded.dictionary.take(pa.array(other)).to_pylist()]
-        flat = np.concatenate([self.ids, np.fromiter((i for m in merged for i in m), "<u4")])
-        own = np.array([len(m) for m in merged], np.int64)
+        merged = self.merges.encode_many(coded.dictionary.take(pa.array(other)).to_pylist())
+        flat = np.concatenate([self.ids, np.frombuffer(b"".join(merged), "<u4")])
+        own = np.array([len(m) for m in merged], np.int64) // 4
         starts, sizes = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
         inside = number >= 0
         starts[inside], sizes[inside] = self.starts[number[inside]], self.lengths[number[inside]]
@@ -282,8 +307,10 @@ class Lexicon:
         index = coded.indices.to_numpy()
         upto = np.zeros(len(index) + 1, np.int64)
         np.cumsum(sizes[index], out=upto[1:])
-        ids = flat[np.repeat(starts[index] - upto[:-1], sizes[index]) + np.arange(upto[-1])]
-        return ids, upto[bounds]
+        kind = np.int32 if max(len(flat), int(upto[-1])) < 1 << 31 else np.int64
+        at = np.repeat((starts[index] - upto[:-1]).astype(kind), sizes[index])
+        at += np.arange(upto[-1], dtype=kind)
+        return flat[at], upto[bounds]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of all texts and each text's bounds in them."""

@@ -223,4 +223,5 @@ def test_merges_of_long_words(library):
     rng = random.Random(8)
     for n in (150, 250, 900):
         word = "".join(rng.choice("etaoinshr") for _ in range(n))
-        assert made.encode(word.encode()) == ids_of(library, BYTES, word)
+        got = [np.frombuffer(x, "<u4").tolist() for x in made.encode_many([word.encode(), b" x", b""])]
+        assert got == [ids_of(library, BYTES, word), ids_of(library, BYTES, " x"), []]
