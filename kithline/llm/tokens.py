@@ -1,8 +1,9 @@
 """The tokenizers library's ids of whole texts, with each distinct unit of a step encoded once.
 
-A text is cut where an ASCII white-space character follows another character.
-Neither tokenizer's pattern has a match over such a place, and neither looks
-back, so the ids of a text are those of its units one after the other.  White
+A text is cut where an ASCII white-space character follows another character,
+and where ASCII punctuation follows an ASCII letter or digit.  Neither
+tokenizer's pattern has a match over such a place, and neither looks back, so
+the ids of a text are those of its units one after the other.  White
 space outside ASCII (and the separators 0x1C-0x1F) next to ASCII white space
 would form one run with it; a text that has any is one unit.
 """
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 from .common import buffer_of
-from .spans import LOWER, WHITE, Words
+from .spans import LOWER, WHITE
 
 #: Distinct units of each of two generations that a worker remembers; a full younger one becomes the older.
 REMEMBERED = 500_000
@@ -37,13 +38,32 @@ def load(file: str):
     return made
 
 
+ALNUM, PUNCT = np.zeros(256, bool), np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def _after_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where ASCII punctuation follows an ASCII letter or digit: a place that no match spans.
+
+    There is none in texts with what may be an added token, which would be cut.
+    """
+    cut = np.zeros(len(data), bool)
+    if len(data):
+        cut[1:] = PUNCT[data[1:]] & ALNUM[data[:-1]]
+        for at in np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)).tolist():
+            d = int(np.searchsorted(offsets, at, "right")) - 1
+            cut[offsets[d] : offsets[d + 1]] = False
+    return cut
+
+
 def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The units (leading white space and what follows it) of null-free texts, as an Arrow binary array, and each text's bounds."""
     data, offsets = buffer_of(texts)
     white = WHITE[data]
-    cut = np.zeros(len(data), bool)
-    cut[1:] = white[1:] & ~white[:-1]
-    whole = {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in OTHER_WHITE.finditer(data)} if (data > 127).any() or (data < 32).any() else ()
+    cut = _after_words(data, offsets)
+    cut[1:] |= white[1:] & ~white[:-1]
+    whole = {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in OTHER_WHITE.finditer(data)} if len(data) else ()
     for d in whole:
         cut[offsets[d] : offsets[d + 1]] = False
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
@@ -54,7 +74,7 @@ def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """As :func:`units_of` for a tokenizer that lower-cases and drops white space: the words alone.
+    """As :func:`units_of` for a tokenizer that lower-cases and drops white space.
 
     A-Z are lower-cased here already, so that fewer words are distinct, except
     before a character that could compose with them, and in a step that holds
@@ -63,8 +83,16 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     data, offsets = buffer_of(texts)
     if len(data) and not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
         data = np.where(np.append(data[1:], 0) < 0x80, LOWER[data], data)
-    words = Words(data, offsets)
-    return words.array(), words.bounds
+    white = WHITE[data]
+    cut = _after_words(data, offsets)
+    cut[1:] |= white[:-1]
+    cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    cut &= ~white
+    at = np.flatnonzero(cut)
+    held = ~white
+    place = np.cumsum(held) - 1
+    ends = np.append(place[at], int(held.sum())).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(data[held])]), np.searchsorted(at, offsets)
 
 
 def spread(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
