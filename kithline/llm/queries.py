@@ -69,6 +69,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+OP3_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM t),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM t)),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i, true AS gone FROM later, (SELECT unnest(range(20)) AS j)),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone IS NULL) AS kept
+  FROM words LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)
+"""
+
+OP5_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce("text", '') AS x, regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') AS w,
+    [l FOR l IN string_split(coalesce("text", ''), chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls
+  FROM documents
+), windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM t)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows) WHERE n > 1),
+again AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, (SELECT unnest(range(8)) AS j) GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(x, '[^!]', '', 'g')) AS n_bangs
+  FROM t LEFT JOIN again USING (doc_id)
+), judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 2 * n_symbols > n_words OR 2 * n_bangs > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+FROM judged
+"""
+
 OP7_SQL = """
 SELECT doc_id, coalesce(doc_id % 4, 0) AS arrival, CAST(octet_length(encode("text")) AS BIGINT) AS n_bytes, md5("text") AS text_md5, lang, source, n_chars
 FROM documents
@@ -97,4 +129,4 @@ FROM placed GROUP BY conv_id, part, speaker
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_size_tiers": OP7_SQL, "op9_perspectives": OP9_SQL}
+    return {"op3_difference_cover": OP3_SQL, "op5_quality_cascade": OP5_SQL, "op7_size_tiers": OP7_SQL, "op9_perspectives": OP9_SQL}
