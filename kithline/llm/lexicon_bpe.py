@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, slices, text_column
-from .tokens import spread, units_of
+from .tokens import byte_names, spread, units_of
 
 #: Words of the lexicon, and words that a task names, at most.
 LEXICON = 1 << 16
@@ -231,18 +231,6 @@ class Merges:
         return np.concatenate([x for _, x in done])[order].astype("<u4"), out_lengths
 
 
-def byte_names() -> list[str]:
-    """The character that stands for each byte in the vocabulary: printable Latin-1 itself, others from U+0100 on."""
-    names, more = [], 0
-    for b in range(256):
-        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
-            names.append(chr(b))
-        else:
-            names.append(chr(256 + more))
-            more += 1
-    return names
-
-
 class Lexicon:
     """The memory-mapped automaton, with merges for words it does not accept."""
 

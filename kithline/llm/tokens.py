@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,23 @@ REMEMBERED = 500_000
 #: Units that one call of the library encodes, with an added token between them (which the library splits a text at), and the longest of them in bytes.
 TOGETHER = 200
 LONG = 4096
+#: Letters below are in composed form, and letters in any version of Unicode; a unit of such goes to the library's model straight.
+BEYOND = "\u0250"
 OTHER_WHITE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf")
 
 
+def byte_names() -> list[str]:
+    """The character that stands for each byte in the vocabularies: printable Latin-1 itself, others from U+0100 on."""
+    names, more = [], 0
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            names.append(chr(b))
+        else:
+            names.append(chr(256 + more))
+            more += 1
+    return names
+
+
 def load(file: str):
     """The library's tokenizer of a file, without its own threads, truncation and padding."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,9 +126,10 @@ class Encoder:
     """Ids of texts by the library."""
 
     def __init__(self, file: str, words_only: bool, remembered: int = REMEMBERED):
-        self.remembered = remembered
+        self.remembered, self.words_only = remembered, words_only
         self.library, self.cut, self.known = load(file), words_of if words_only else units_of, {}
         self.older: dict[bytes, bytes] = {}
+        self.model, self.shown = self.library.model, dict(enumerate(byte_names()))
         self.between = max(self.library.get_added_tokens_decoder().items())[1].content.encode()
         self.between_id = self.library.token_to_id(self.between.decode())
 
@@ -128,6 +144,12 @@ class Encoder:
             older = self.older
             known.update((u, older[u]) for u in missing if u in older)
             missing = [u for u in missing if u not in known]
+            tokenize, shown, fit = self.model.tokenize, self.shown, self._is_plain
+            for u in missing:
+                if fit(u):
+                    ids = [t.id for t in tokenize(u.decode("latin-1").translate(shown))]
+                    known[u] = struct.pack(f"<{len(ids)}I", *ids)
+            missing = [u for u in missing if u not in known]
             short = [u for u in missing if len(u) <= LONG and b"<|" not in u]
             for at in range(0, len(short), TOGETHER):
                 some = short[at : at + TOGETHER]
@@ -137,6 +159,16 @@ class Encoder:
             known.update((u, np.array(self._ids(u), "<u4").tobytes()) for u in missing if u not in known)
         return [known[u] for u in units]
 
+    def _is_plain(self, unit: bytes) -> bool:
+        """Letters below U+0250 alone (behind a space at most, or in lower case): normaliser and pattern leave them whole."""
+        if unit.isascii():
+            return unit.isalpha() and unit.islower() if self.words_only else unit[unit[:1] == b" " :].isalpha()
+        text = unit.decode()
+        if self.words_only:
+            return text.isalpha() and max(text) < BEYOND and text == text.lower()
+        text = text[text[0] == " " :]
+        return text.isalpha() and max(text) < BEYOND
+
     def _ids(self, text: bytes) -> list[int]:
         return self.library.encode(text.decode(), add_special_tokens=False).ids
 
