@@ -31,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, text_column
+from .common import forget, shared_dir, slices, stored, text_column
 from .tokens import byte_names, spread, units_of
 
 #: Words of the lexicon, and words that a task names, at most.
@@ -43,7 +43,12 @@ WORD_BYTES = 64
 
 
 def frequent_words(docs: DataFrame, text: str = "text", size: int = LEXICON) -> list[bytes]:
-    """The lexicon's words; ties go to the smaller."""
+    """The lexicon's words: all that occur as often as allows for at most ``size``.
+
+    Words are counted by steps of their frequency (sixteen for each power of
+    two), and whole steps are taken from the top, so that only the lexicon itself
+    reaches the driver.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -60,8 +65,17 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = LEXICON) ->
             yield from top.combine_chunks().to_batches()
 
     counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r[0]) for r in top.select("word").collect()]
+    step = F.floor(F.log2("n") * 16).cast("int")
+    whole = stored(counts.groupBy("word").agg(F.sum("n").alias("n")).select("word", step.alias("step")), "frequent")
+    least, sofar = 1 << 30, 0
+    for r in sorted(whole.groupBy("step").count().collect(), reverse=True):  # at most 1,024 rows
+        sofar += r["count"]
+        if sofar > size:
+            break
+        least = r["step"]
+    found = [bytes(r[0]) for r in whole.filter(F.col("step") >= least).select("word").collect()]
+    forget(whole)
+    return found
 
 
 class Automaton:
