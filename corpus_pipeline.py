@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kithline.llm import packing, quality_cascade, simhash_ring, substring_dedup
+from kithline.llm import packing, quality_cascade, shingle_jaccard, substring_dedup
 from kithline.llm.common import stored
 
 #: The end id of a packed document, and the ids of a sequence.
@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash fingerprints, the one with the smallest doc_id."""
-    return simhash_ring.one_of_each(docs)
+    """Of documents whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more, the one with the smallest doc_id."""
+    return shingle_jaccard.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,150 @@
+"""Near-duplicate texts: Jaccard similarity of sets of word shingles at ``LEAST`` or more, verified exactly.
+
+A text's A-Z are lower-cased and its words cut into shingles of ``SHINGLE``
+words; a shingle is its 64-bit hash.  Texts with the same shingles are one node.
+
+Candidates: ``BANDS`` bands of ``ROWS`` minima over hash functions; nodes that
+share a band are candidates, which a pair of similarity s does with probability
+1 - (1 - s ** ROWS) ** BANDS: 0.9996 at 0.8.  (A 64-bit SimHash has about 10
+differing bits at that similarity, and no chain of segments that narrow down
+texts at such a radius.)  Candidates are linked to the first of their band only,
+and contracted into groups.  Every pair of a group is a candidate; a search over
+the unvisited texts of a group emits a spanning forest of the pairs whose
+similarity, from the whole sets, is ``LEAST`` or more.  A group is searched by
+one task, which holds its texts.
+
+Defined results: texts without words are alike; fewer words than a shingle make
+one shingle; repeated rows are alike; an empty table gives an empty table; ids
+may be null or repeated, and decide only which row of linked ones stays.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import STEP_BYTES, buffer_of, forget, frugal, slices, stored, text_column
+from .simhash_ring import connected, first_rows
+from .spans import LOWER, Words, mixed, rolling
+
+SHINGLE = 5
+#: Least similarity, as a fraction.
+LEAST = (4, 5)
+BANDS, ROWS = 26, 6
+_SEEDS = mixed(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64)).reshape(2, -1)
+ADD, TIMES = _SEEDS[0], _SEEDS[1] | np.uint64(1)
+
+
+def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of a null-free string array, and how many each text has."""
+    data, offsets = buffer_of(texts)
+    words = Words(LOWER[data], offsets)
+    hashes, counts = words.hashes(), words.counts
+    made = np.where(counts == 0, 0, np.maximum(1, counts - SHINGLE + 1))
+    first = np.cumsum(made) - made
+    text = np.repeat(np.arange(len(counts)), made)
+    out = np.zeros(len(text), np.uint64)
+    long = counts[text] >= SHINGLE
+    begin = words.bounds[:-1][text] + np.arange(len(text)) - first[text]
+    out[long] = rolling(hashes, SHINGLE)[begin[long]]
+    for i in np.flatnonzero((counts > 0) & (counts < SHINGLE)).tolist():
+        out[first[i]] = rolling(hashes[words.bounds[i] : words.bounds[i + 1]], int(counts[i]))[0] ^ np.uint64(counts[i])
+    return out, made
+
+
+def sketches(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Per text the node (the sum of its shingles' hashes; zero without words) and the hashes of its bands."""
+    values, made = shingles(texts)
+    some = np.flatnonzero(made)
+    node, bands = np.zeros(len(made), np.uint64), np.zeros((len(made), BANDS), np.uint64)
+    if len(some):
+        heads = (np.cumsum(made) - made)[some]
+        node[some] = np.add.reduceat(mixed(values), heads)
+        for band in range(BANDS):
+            key = np.full(len(some), band + 1, np.uint64)
+            for k in range(band * ROWS, (band + 1) * ROWS):
+                key = mixed(key ^ np.minimum.reduceat((values ^ ADD[k]) * TIMES[k], heads))
+            bands[some, band] = key
+    return node, bands
+
+
+def sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text_md5, node and bands (an empty list without words) of every row."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        for part in slices(batches, "text", STEP_BYTES // 4):
+            node, bands = sketches(text_column(part, "text"))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(node) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1).view(np.int64)))
+            yield pa.record_batch({"doc_id": part.column(0), "text_md5": part.column(1), "node": pa.array(node.view(np.int64)), "bands": lists})
+
+    whole = F.col(text).cast("string")
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.coalesce(whole, F.lit(""))).alias("text_md5"), whole.alias("text"))
+    return given.mapInArrow(run, "doc_id long, text_md5 string, node long, bands array<long>")
+
+
+def forest(values: np.ndarray, counts: np.ndarray) -> tuple[list[int], list[int]]:
+    """Spanning forest of the sets (``counts`` of ``values`` each, values distinct in a set) over pairs of similarity ``LEAST`` or more."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    ids = np.unique(values, return_inverse=True)[1]
+    order = np.argsort(ids, kind="stable")
+    holders = owner[order]
+    start = np.searchsorted(ids[order], np.arange(int(ids.max()) + 2 if len(ids) else 1))
+    bounds = np.r_[0, np.cumsum(counts)]
+    rest, left, right = np.ones(len(counts), bool), [], []
+    for first in range(len(counts)):
+        if not rest[first]:
+            continue
+        todo, rest[first] = [first], False
+        while todo and rest.any():
+            i = todo.pop()
+            shared = np.zeros(len(counts), np.int64)
+            own = ids[bounds[i] : bounds[i + 1]]
+            for part in np.array_split(own, len(own) // 256 + 1):  # bounds the memory of a step
+                lengths = start[part + 1] - start[part]
+                at = np.repeat(start[part] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+                shared += np.bincount(holders[at], minlength=len(counts))
+            found = np.flatnonzero(rest & (LEAST[1] * shared >= LEAST[0] * (counts[i] + counts - shared)))
+            rest[found] = False
+            left += [i] * len(found)
+            right += found.tolist()
+            todo += found.tolist()
+    return left, right
+
+
+def _linked(group: pa.Table) -> pa.Table:
+    """Edges of a group of nodes with their texts; a node may come more than once."""
+    frugal()
+    node, at = np.unique(group.column("node").to_numpy(), return_index=True)
+    sets = []
+    for batch in slices(group.select(["text"]).take(pa.array(at)).to_batches(), "text"):
+        values, made = shingles(text_column(batch, "text"))
+        sets += [np.unique(v) for v in np.split(values, np.cumsum(made)[:-1])]
+    left, right = forest(np.concatenate(sets), np.array([len(s) for s in sets]))
+    x, y = node[np.array(left, np.int64)], node[np.array(right, np.int64)]
+    return pa.table({"a": pa.array(np.maximum(x, y)), "b": pa.array(np.minimum(x, y))})
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_md5 and component, one number for all that are linked, of every row."""
+    table = stored(sketch_table(docs, doc_id, text), "sketches")
+    nodes = stored(table.groupBy("node").agg(F.first("bands").alias("bands"), F.min(F.struct("doc_id", "text_md5")).alias("row")), "nodes")
+    keys = nodes.filter("node <> 0").select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top")
+    groups = connected(keys.join(shared, "key").filter("node > b").select(F.col("node").alias("a"), "b"))
+    wanted = nodes.join(groups, "node").select("node", "root", F.col("row.doc_id").alias("__id"), F.col("row.text_md5").alias("__md5"))
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("text_md5", F.md5(F.coalesce("text", F.lit(""))))
+    texts = whole.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_md5") == F.col("__md5"))).select("root", "node", "text")
+    roots = connected(texts.groupBy("root").applyInArrow(_linked, "a long, b long"))
+    found = stored(table.join(roots, "node", "left").select("doc_id", "text_md5", F.coalesce("root", "node").alias("component")), "linked")
+    forget(table, nodes)
+    return found
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of linked rows of ``docs`` the one with the smallest doc_id (then text_md5); rows that nothing links all stay."""
+    return first_rows(docs, components(docs, doc_id, text), doc_id, text)

@@ -217,6 +217,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def first_rows(docs: DataFrame, linked: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component of ``linked`` (doc_id, text_md5, component): that of the smallest (doc_id, text_md5), null ids last."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_md5").alias("md5"))
+    chosen = linked.groupBy("component").agg(F.min(order).alias("row")).select(F.col("row.id").alias("__chosen_id"), F.col("row.md5").alias("__chosen_md5"))
+    keyed = docs.withColumn("__id", F.col(doc_id).cast("long")).withColumn("__md5", F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    kept = keyed.join(chosen, F.col("__id").eqNullSafe(F.col("__chosen_id")) & (F.col("__md5") == F.col("__chosen_md5")), "left_semi")
+    return kept.dropDuplicates(["__id", "__md5"]).drop("__id", "__md5")
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its component; of repeated ids one row."""
     table = stored(fingerprint_table(docs, doc_id, text), "simhash")
