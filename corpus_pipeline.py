@@ -18,8 +18,8 @@ END, CAPACITY = 0, 2048
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
-    return quality_cascade.kept_rows(docs)
+    """Documents that no quality rule rejects, at the limits for a corpus."""
+    return quality_cascade.kept_rows(docs, rules=(*quality_cascade.BASE, *quality_cascade.CORPUS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,6 +100,13 @@ OWN = [
     Rule("repeated_lines", lambda s: 2 * s("n_dup_lines") > s("n_lines")),
     Rule("word_length", lambda s: (s("word_chars") < 2 * s("n_words")) | (s("word_chars") > 15 * s("n_words"))),
 ]
+#: The same for a training corpus, at the usual limits of symbols and of repeated lines; no contract fixes these.
+CORPUS = [
+    Rule("symbols", lambda s: 10 * s("n_symbols") > s("n_words")),
+    OWN[1],
+    Rule("repeated_lines", lambda s: (2 * s("n_dup_lines") > s("n_lines")) | ((s("n_lines") >= 5) & (10 * s("n_dup_lines") > 3 * s("n_lines")))),
+    OWN[3],
+]
 
 
 def _with_words(df: DataFrame, text: str) -> DataFrame:

@@ -68,3 +68,14 @@ def test_every_operator_is_registered():
     names = list(__spark_entry__.queries())
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
     assert len(corpus_pipeline.STAGES) == 4 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_quality_stage_rejects_menus_and_repeated_lines(spark):
+    words = [f"word{k}" for k in range(60)]
+    lines = [" ".join(words[6 * k : 6 * k + 6]) for k in range(10)]
+    rows = [
+        (1, " | ".join(words)), (2, " ".join(words)), (3, "# " + " ".join(words)),
+        (4, "\n".join([*lines[:6], *["read more"] * 5])), (5, "\n".join([*lines, "read more", "read more"])),
+    ]
+    kept = corpus_pipeline.quality_rules(spark, frame(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
