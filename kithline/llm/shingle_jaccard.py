@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import STEP_BYTES, buffer_of, forget, frugal, slices, stored, text_column
-from .simhash_ring import connected, first_rows
+from .simhash_ring import connected, first_rows, text_md5
 from .spans import LOWER, Words, mixed, rolling
 
 SHINGLE = 5
@@ -83,7 +83,7 @@ def sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             yield pa.record_batch({"doc_id": part.column(0), "text_md5": part.column(1), "node": pa.array(node.view(np.int64)), "bands": lists})
 
     whole = F.col(text).cast("string")
-    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.coalesce(whole, F.lit(""))).alias("text_md5"), whole.alias("text"))
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_md5(whole).alias("text_md5"), whole.alias("text"))
     return given.mapInArrow(run, "doc_id long, text_md5 string, node long, bands array<long>")
 
 
@@ -137,7 +137,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter("b < top")
     groups = connected(keys.join(shared, "key").filter("node > b").select(F.col("node").alias("a"), "b"))
     wanted = nodes.join(groups, "node").select("node", "root", F.col("row.doc_id").alias("__id"), F.col("row.text_md5").alias("__md5"))
-    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("text_md5", F.md5(F.coalesce("text", F.lit(""))))
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("text_md5", text_md5(F.col("text")))
     texts = whole.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_md5") == F.col("__md5"))).select("root", "node", "text")
     roots = connected(texts.groupBy("root").applyInArrow(_linked, "a long, b long"))
     found = stored(table.join(roots, "node", "left").select("doc_id", "text_md5", F.coalesce("root", "node").alias("component")), "linked")

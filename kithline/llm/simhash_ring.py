@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import STEP_BYTES, buffer_of, forget, frugal, slices, stored, text_column
@@ -75,16 +75,23 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a long) of every document."""
+def text_md5(text: Column) -> Column:
+    """The MD5 of a text; a null is an empty text."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def fingerprint_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, marked: bool = False) -> DataFrame:
+    """doc_id and fingerprint (the 64 bits as a long) of every document; ``marked`` adds text_md5."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
         for part in slices(batches, "text", STEP_BYTES // 4):
-            yield pa.record_batch({"doc_id": part.column(0), "fp": pa.array(fingerprints(text_column(part, "text"), shingle).view(np.int64))})
+            columns = {"doc_id": part.column(0), "fp": pa.array(fingerprints(text_column(part, "text"), shingle).view(np.int64))}
+            yield pa.record_batch(columns | ({"text_md5": part.column(2)} if marked else {}))
 
-    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return given.mapInArrow(run, "doc_id long, fp long")
+    whole = F.col(text).cast("string")
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole.alias("text"), *[text_md5(whole).alias("text_md5")] * marked)
+    return given.mapInArrow(run, "doc_id long, fp long" + ", text_md5 string" * marked)
 
 
 def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,14 +204,19 @@ def connected(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def components(table: DataFrame) -> DataFrame:
-    """Of a fingerprint table (doc_id, fp): doc_id, fp and component_id, the smallest doc_id reachable."""
+def rooted_nodes(table: DataFrame) -> DataFrame:
+    """Of a fingerprint table (doc_id, fp): every fp with its smallest doc_id as ``first`` and the root of its component."""
     nodes = stored(table.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     buckets = nodes.select("fp").mapInArrow(_keys, "key long, fp long")
     forest = buckets.repartition("key").sortWithinPartitions("key").mapInArrow(_forests, "a long, b long")
     roots = connected(forest)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def components(table: DataFrame) -> DataFrame:
+    """Of a fingerprint table (doc_id, fp): doc_id, fp and component_id, the smallest doc_id reachable."""
+    rooted = rooted_nodes(table)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return table.join(named, "fp", "left").select("doc_id", "fp", "component_id")
@@ -221,14 +233,13 @@ def first_rows(docs: DataFrame, linked: DataFrame, doc_id: str = "doc_id", text:
     """One row of ``docs`` for each component of ``linked`` (doc_id, text_md5, component): that of the smallest (doc_id, text_md5), null ids last."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_md5").alias("md5"))
     chosen = linked.groupBy("component").agg(F.min(order).alias("row")).select(F.col("row.id").alias("__chosen_id"), F.col("row.md5").alias("__chosen_md5"))
-    keyed = docs.withColumn("__id", F.col(doc_id).cast("long")).withColumn("__md5", F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    keyed = docs.withColumn("__id", F.col(doc_id).cast("long")).withColumn("__md5", text_md5(F.col(text).cast("string")))
     kept = keyed.join(chosen, F.col("__id").eqNullSafe(F.col("__chosen_id")) & (F.col("__md5") == F.col("__chosen_md5")), "left_semi")
     return kept.dropDuplicates(["__id", "__md5"]).drop("__id", "__md5")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its component; of repeated ids one row."""
-    table = stored(fingerprint_table(docs, doc_id, text), "simhash")
-    chosen = components(table).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(chosen, docs[doc_id].eqNullSafe(chosen["__id"]), "left_semi")
-    return kept.dropDuplicates([doc_id])
+    """Of linked rows of ``docs`` the one with the smallest doc_id (then text_md5); rows that nothing links all stay."""
+    table = stored(fingerprint_table(docs, doc_id, text, marked=True), "simhash")
+    named = table.join(rooted_nodes(table).select("fp", F.col("root").alias("component")), "fp")
+    return first_rows(docs, named.select("doc_id", "text_md5", "component"), doc_id, text)

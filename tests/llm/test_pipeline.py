@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
+from kithline.llm import simhash_ring
 
 from .conftest import frame
 from .test_texts import WORD, fingerprint, quality, removed, smallest_reachable
@@ -79,3 +80,12 @@ def test_quality_stage_rejects_menus_and_repeated_lines(spark):
     ]
     kept = corpus_pipeline.quality_rules(spark, frame(spark, rows), "")
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
+
+
+@pytest.mark.parametrize("one_of_each", [lambda docs: corpus_pipeline.near_duplicates(None, docs, ""), simhash_ring.one_of_each])
+def test_null_and_repeated_ids_lose_only_linked_rows(spark, one_of_each):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(60))
+    rows = [(None, text(k)) for k in range(5)] + [(7, text(k)) for k in range(5, 10)] + [(None, text(0)), (None, text(9)), (7, text(4)), (3, text(5)), (7, text(6))]
+    kept = one_of_each(frame(spark, rows))
+    want = [(None, text(k)) for k in range(4)] + [(7, text(4)), (3, text(5))] + [(7, text(k)) for k in range(6, 10)]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
