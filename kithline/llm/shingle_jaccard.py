@@ -89,11 +89,18 @@ def sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def forest(values: np.ndarray, counts: np.ndarray) -> tuple[list[int], list[int]]:
     """Spanning forest of the sets (``counts`` of ``values`` each, values distinct in a set) over pairs of similarity ``LEAST`` or more."""
+    # Alike sets share one of the rarest n - ceil(LEAST n) + 1 values of both, so only these are looked up.
     owner = np.repeat(np.arange(len(counts)), counts)
-    ids = np.unique(values, return_inverse=True)[1]
-    order = np.argsort(ids, kind="stable")
-    holders = owner[order]
-    start = np.searchsorted(ids[order], np.arange(int(ids.max()) + 2 if len(ids) else 1))
+    ids, often = np.unique(values, return_inverse=True, return_counts=True)[1:]
+    ids = np.argsort(np.argsort(often, kind="stable"))[ids]
+    ids = ids[np.lexsort((ids, owner))]
+    within = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+    prefix = counts - -(-LEAST[0] * counts // LEAST[1]) + 1
+    rare = within < np.repeat(prefix, counts)
+    order = np.argsort(ids[rare], kind="stable")
+    holders = owner[rare][order]
+    start = np.searchsorted(ids[rare][order], np.arange(len(often) + 1))
+    mark = np.zeros(len(often), bool)
     bounds = np.r_[0, np.cumsum(counts)]
     rest, left, right = np.ones(len(counts), bool), [], []
     for first in range(len(counts)):
@@ -102,13 +109,14 @@ def forest(values: np.ndarray, counts: np.ndarray) -> tuple[list[int], list[int]
         todo, rest[first] = [first], False
         while todo and rest.any():
             i = todo.pop()
-            shared = np.zeros(len(counts), np.int64)
             own = ids[bounds[i] : bounds[i + 1]]
-            for part in np.array_split(own, len(own) // 256 + 1):  # bounds the memory of a step
-                lengths = start[part + 1] - start[part]
-                at = np.repeat(start[part] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-                shared += np.bincount(holders[at], minlength=len(counts))
-            found = np.flatnonzero(rest & (LEAST[1] * shared >= LEAST[0] * (counts[i] + counts - shared)))
+            near = [holders[start[v] : start[v + 1]] for v in own[: prefix[i]].tolist()]
+            near = np.unique(np.concatenate([x[rest[x]] for x in near])) if near else np.zeros(0, np.int64)
+            near = near[(LEAST[1] * counts[near] >= LEAST[0] * counts[i]) & (LEAST[1] * counts[i] >= LEAST[0] * counts[near])]
+            mark[own] = True
+            shared = np.array([np.count_nonzero(mark[ids[bounds[k] : bounds[k + 1]]]) for k in near.tolist()], np.int64)
+            mark[own] = False
+            found = near[LEAST[1] * shared >= LEAST[0] * (counts[i] + counts[near] - shared)]
             rest[found] = False
             left += [i] * len(found)
             right += found.tolist()
