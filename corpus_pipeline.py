@@ -33,11 +33,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in the packed sequences.
+    """Each piece of each document with its ids and where it stands in the packed sequences.
 
     Executors still hold what earlier stages used, so workers take small steps.
     """
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), END, capacity=CAPACITY, step=4 << 20, remembered=100_000)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), END, capacity=CAPACITY, with_ids=True, step=4 << 20, remembered=100_000)
 
 
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("repeated passages", repeated_passages), ("packing", packed_sequences)]

@@ -2,13 +2,14 @@
 
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from kithline.llm import simhash_ring
+from kithline.llm import packing, simhash_ring
 
 from .conftest import frame
 from .test_texts import WORD, fingerprint, quality, removed, smallest_reachable
@@ -89,3 +90,13 @@ def test_null_and_repeated_ids_lose_only_linked_rows(spark, one_of_each):
     kept = one_of_each(frame(spark, rows))
     want = [(None, text(k)) for k in range(4)] + [(7, text(4)), (3, text(5))] + [(7, text(k)) for k in range(6, 10)]
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+
+
+def test_output_is_the_packed_corpus(spark, folder, rows):
+    made = corpus_pipeline.run(spark, folder)
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in brute(rows)}
+    got = made.collect()
+    assert all(np.frombuffer(r.ids, "<i4").tolist() == texts[r.doc_id][r.start : r.start + r.length] for r in got)
+    packed = packing.sequences(made).collect()
+    assert sum(len(r.ids) for r in packed) == 4 * sum(map(len, texts.values())) and max(len(r.ids) for r in packed) <= 4 * 2048
