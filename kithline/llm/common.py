@@ -12,15 +12,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where a session names no shared folder (tests, one machine).
+#: Used only where a session on one machine (tests) names no shared folder.
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
 #: Text bytes that one vectorised step handles at most; a longer single text is one step.
 STEP_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a cluster has to name one."""
     named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not named and (not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     return (named or LOCAL_CHECKPOINTS).rstrip("/")
 
 
@@ -50,6 +52,15 @@ def forget(*tables: DataFrame) -> None:
             delete(df.sparkSession, folder)
 
 
+def stored_bytes(table: DataFrame) -> int:
+    """Bytes of the files of a table that :func:`stored` wrote."""
+    spark, total = table.sparkSession, 0
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        total += p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return total
+
+
 def count_partitions(spark: SparkSession, wanted: int = 1) -> int:
     """Shuffle partitions: the session's number, or ``wanted`` where the data need more."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)

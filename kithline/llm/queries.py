@@ -106,25 +106,29 @@ SELECT doc_id, coalesce(doc_id % 4, 0) AS arrival, CAST(octet_length(encode("tex
 FROM documents
 """
 
-OP9_SQL = """
+OP9_SQL = r"""
 WITH turns AS (
-  SELECT conv_id, CAST(coalesce(turn // 1024, 0) AS BIGINT) AS part, turn, coalesce(role, 'unknown') AS role, coalesce("text", '') AS said
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce("text", '') AS said, regexp_replace(coalesce("text", ''), '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' || chr(10) AS body
   FROM conversations
+), headed AS (
+  SELECT *, CASE WHEN role = 'system' THEN '<|system|>' ELSE '<|user name=' || regexp_replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), '\|(\\*)>', '|\\\1>', 'g') || '|>' END || chr(10) AS head
+  FROM turns
+), placed AS (
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, said ROWS UNBOUNDED PRECEDING) - length(head) - length(body) AS begun
+  FROM headed
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'
 ), pieces AS (
-  SELECT t.conv_id, part, speaker, turn, role, said, role = speaker AS own,
-    CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
-    said || '<|end|>' || chr(10) AS body
-  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
-), placed AS (
-  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, speaker ORDER BY turn NULLS FIRST, role, said ROWS UNBOUNDED PRECEDING) AS upto
+  SELECT t.conv_id, speaker, begun // 262144 AS piece, turn, role, said, body, role = speaker AS own, CASE WHEN role = speaker THEN '<|assistant|>' || chr(10) ELSE head END AS shown
+  FROM placed t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), ended AS (
+  SELECT *, sum(length(shown) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, role, said ROWS UNBOUNDED PRECEDING) AS upto
   FROM pieces
 )
-SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
-  string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, said) AS rendered,
+SELECT conv_id, speaker, CAST(piece AS BIGINT) AS piece, CAST(min(upto - length(shown) - length(body)) AS BIGINT) AS start, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+  string_agg(shown || body, '' ORDER BY turn NULLS FIRST, role, said) AS rendered,
   coalesce(string_agg(CAST(upto - length(body) AS VARCHAR) || ':' || CAST(upto AS VARCHAR), ',' ORDER BY turn NULLS FIRST, role, said) FILTER (WHERE own), '') AS mask_spans
-FROM placed GROUP BY conv_id, part, speaker
+FROM ended GROUP BY conv_id, speaker, piece
 """
 
 
