@@ -47,9 +47,12 @@ def op6_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_size_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the newest version, with its rows by the manifest and how many runs of shards are left to merge."""
     docs = table(spark, sf_dir, "documents")
-    rows = compaction.compacted(docs, new_path(spark, "sharded")).read()
-    return rows.select("doc_id", F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0)).alias("arrival"), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+    made = compaction.compacted(docs, new_path(spark, "sharded"))
+    listed = made.manifest()
+    counts = [F.lit(listed.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]).cast("long").alias("version_rows"), F.lit(made.plan(listed).select("run").distinct().count()).cast("long").alias("runs_left")]
+    return made.read().select("doc_id", F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0)).alias("arrival"), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars", *counts)
 
 
 def op8_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +105,8 @@ FROM judged
 """
 
 OP7_SQL = """
-SELECT doc_id, coalesce(doc_id % 4, 0) AS arrival, CAST(octet_length(encode("text")) AS BIGINT) AS n_bytes, md5("text") AS text_md5, lang, source, n_chars
+SELECT doc_id, coalesce(doc_id % 4, 0) AS arrival, CAST(octet_length(encode("text")) AS BIGINT) AS n_bytes, md5("text") AS text_md5, lang, source, n_chars,
+  count(*) OVER () AS version_rows, CAST(0 AS BIGINT) AS runs_left
 FROM documents
 """
 
