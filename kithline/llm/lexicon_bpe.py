@@ -9,17 +9,26 @@ number, which indexes its ids.  The arrays go into one file in the shared
 folder, which Spark hands to every executor, where workers memory-map it.
 
 A step's distinct words walk the automaton together, byte by byte; words that it
-does not accept are merged by the tokenizer's own merge ranks.  So the lexicon
-decides the time taken and never an id.
-
-Defined results: a null text is empty, without ids; an empty table gives an empty
-lexicon and an empty table; repeated rows get equal values; other columns are
-ignored.
+does not accept are merged by the tokenizer's own merge ranks: short ones together,
+a pass for each merge; a long one alone, by a heap of its pairs over a linked list,
+in n log n steps.  So the lexicon decides the time taken and never an id.
+
+The file's name is the digest of what it holds, so that calls over the same corpus
+share one.  It stays in the shared folder while the application runs, because Spark
+hands it to executors that are started later, too.
+
+Defined results: a null text is empty, without ids; a very long text, or one without
+any space, is encoded whole; an empty table gives an empty lexicon and an empty
+table; repeated rows get equal values; of words that are equally frequent the whole
+step of frequency is taken or left; of equal merge ranks the leftmost pair merges
+first; other columns, whatever their names, are ignored.  A tokenizer file of
+another kind than byte-level BPE with its usual pattern is refused.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import uuid
 from collections.abc import Iterable, Iterator
@@ -40,6 +49,8 @@ LEXICON = 1 << 16
 REMEMBERED = 300_000
 #: Longer words are left to the merges.
 WORD_BYTES = 64
+#: Parts of words up to so many bytes merge together, a pass for each merge; longer ones alone, by a heap.
+TOGETHER_BYTES = 128
 
 
 def frequent_words(docs: DataFrame, text: str = "text", size: int = LEXICON) -> list[bytes]:
@@ -155,6 +166,10 @@ class Merges:
 
         with open(file, encoding="utf-8") as f:
             model = json.load(f)
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        plain = model["model"]["type"] == "BPE" and not any(model["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        if model.get("normalizer") or not plain or any((model.get("pre_tokenizer") or {}).get(k) != v for k, v in usual.items()):
+            raise ValueError(f"{file} is not a byte-level BPE with the usual pattern")
         vocab, merges = model["model"]["vocab"], model["model"]["merges"]
         as_bytes = {c: bytes([b]) for b, c in enumerate(byte_names())}
         raw = lambda s: b"".join(as_bytes[c] for c in s)
@@ -170,6 +185,7 @@ class Merges:
         self.bytes = np.array([ids[bytes([b])] for b in range(256)], np.int32)
         first, second = np.divmod(np.arange(1 << 16), 256)
         self.byte_ranks = self.rank(self.bytes[first], self.bytes[second])
+        self.rank_of = dict(zip((left * self.base + right).tolist(), range(len(left)), strict=True))
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.special = regex.compile(b"|".join(map(regex.escape, self.added))) if added else None
         self.known = dict(self.added)
@@ -196,11 +212,44 @@ class Merges:
         if len(self.known) > REMEMBERED:
             self.known = dict(self.added)
         known = self.known
-        new = list({p for ps in cut for p in ps if p not in known})
+        unknown = {p for ps in cut for p in ps if p not in known}
+        alone = {p: self.merged_alone(p).tobytes() for p in unknown if len(p) > TOGETHER_BYTES}
+        new = [p for p in unknown if len(p) <= TOGETHER_BYTES]
         flat, lengths = self.merged(new)
         raw, ends = flat.tobytes(), np.cumsum(lengths) * 4
         known.update((p, raw[a:z]) for p, a, z in zip(new, (ends - 4 * lengths).tolist(), ends.tolist(), strict=True))
-        return [b"".join(known[p] for p in ps) for ps in cut]
+        return [b"".join(alone[p] if p in alone else known[p] for p in ps) for ps in cut]
+
+    def merged_alone(self, word: bytes) -> np.ndarray:
+        """Ids of one word: the pair of the lowest rank, then of the leftmost place, from a heap; places form a linked list."""
+        data, n, base, none = np.frombuffer(word, np.uint8), len(word), self.base, self.NONE
+        symbol = self.bytes[data].tolist()
+        now = self.byte_ranks[data[:-1].astype(np.int64) << 8 | data[1:]].tolist() + [none]  # the rank of the pair that begins at each place
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [r << 40 | i for i, r in enumerate(now) if r != none]
+        heapq.heapify(heap)
+        made, rank_of, place = self.made.tolist(), self.rank_of, (1 << 40) - 1
+        while heap:
+            entry = heapq.heappop(heap)
+            rank, i = entry >> 40, entry & place
+            if now[i] != rank:  # one of the two has been merged meanwhile
+                continue
+            j = after[i]
+            k = after[j]
+            symbol[i], symbol[j], now[j], after[i] = made[rank], -1, none, k
+            now[i] = none
+            if k < n:
+                before[k] = i
+                now[i] = rank_of.get(symbol[i] * base + symbol[k], none)
+                if now[i] != none:
+                    heapq.heappush(heap, now[i] << 40 | i)
+            h = before[i]
+            if h >= 0:
+                now[h] = rank_of.get(symbol[h] * base + symbol[i], none)
+                if now[h] != none:
+                    heapq.heappush(heap, now[h] << 40 | h)
+        out = np.array(symbol, np.int64)
+        return out[out >= 0].astype("<u4")
 
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words as one array, and how many each has."""
@@ -333,11 +382,16 @@ def opened(name: str, file: str) -> Lexicon:
 
 def publish(spark: SparkSession, body: bytes) -> str:
     """Put a lexicon file into the shared folder and hand it to all executors, also to later ones; its name."""
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
+    name = f"lexicon-{hashlib.sha256(body).hexdigest()[:32]}.bin"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kithline/{name}")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(body)
-    out.close()
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        staged = path.suffix(f".{uuid.uuid4().hex}")
+        out = files.create(staged)
+        out.write(body)
+        out.close()
+        if not files.rename(staged, path):  # another session has put the same there
+            files.delete(staged, False)
     spark.sparkContext.addFile(path.toString())
     return name
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
@@ -225,3 +226,29 @@ def test_merges_of_long_words(library):
         word = "".join(rng.choice("etaoinshr") for _ in range(n))
         got = [np.frombuffer(x, "<u4").tolist() for x in made.encode_many([word.encode(), b" x", b""])]
         assert got == [ids_of(library, BYTES, word), ids_of(library, BYTES, " x"), []]
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "a", "é漢ab"])
+def test_a_megabyte_without_spaces(library, letters):
+    made, rng = lexicon_bpe.Merges(BYTES), random.Random(9)
+    word = "".join(rng.choice(letters) for _ in range(1 << 20))
+    began = time.perf_counter()
+    got = np.frombuffer(made.encode_many([word.encode()])[0], "<u4").tolist()
+    assert time.perf_counter() - began < 20 and got == ids_of(library, BYTES, word)
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        lexicon_bpe.Merges(WORDS)
+
+
+def test_columns_with_clashing_names(spark, odd):
+    more = odd
+    for name in ("ids", "n", "word", "start", "piece", "length", "shard", "block", "sequence_id", "offset", "n_tokens"):
+        more = more.withColumn(name, F.lit("x"))
+    plain = lambda df: Counter(tuple(r) for r in df.collect())
+    assert plain(lexicon_bpe.round_trip(more, BYTES, size=40)) == plain(lexicon_bpe.round_trip(odd, BYTES, size=40))
+    of = lambda docs: plain(huffman_ids.read_files(*huffman_ids.encode_corpus(docs, WORDS, 2)).select("doc_id", "n_tokens", "ids_crc32"))
+    assert of(more) == of(odd)
+    pieces = lambda docs: plain(packing.pack(docs, BYTES, 0).select("doc_id", "piece", "start", "length", "ids_crc32"))
+    assert pieces(more) == pieces(odd)
