@@ -11,9 +11,14 @@ checkpoints at once, and any document can be read from the checkpoint before it.
 Files are Parquet files with a block a row, because Spark commits those once
 even if executors are lost; they stand in ascending doc_id order.
 
-Defined results: a null text has only the end id; repeated rows are written
-each; a null doc_id stands first; an empty table gives no file rows; other
-columns are ignored.
+Shards are as many as the stored tokens need at ``SHARD_BYTES`` each; rows of one
+doc_id are spread over as many shards as they take.
+
+Defined results: a null text has only the end id; a very long text is a block of its
+own, encoded whole; repeated rows are written each; rows of equal doc_ids stand one
+after the other, in the order in which the table is read; a null doc_id stands
+first; ids of equal counts get codes by their value; an empty table gives no file
+rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -27,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import STEP_BYTES, count_partitions, forget, slices, stored, text_column
+from .common import STEP_BYTES, count_partitions, forget, slices, stored, stored_bytes, text_column
 from .tokens import encoder, with_end
 
 MAX_BITS = 20
 BLOCK_IDS = 1 << 20
 STRIDE = 256
+#: Bytes of stored tokens that a shard holds, about.
+SHARD_BYTES = 128 << 20
 FILE = "shard int, block int, before long, n_ids long, doc_ids binary, lengths binary, checkpoints binary, codes binary"
 
 
@@ -181,8 +188,11 @@ def write_files(tokens: DataFrame, lengths: np.ndarray, kind: str) -> DataFrame:
         if held:
             yield row()
 
-    n = count_partitions(tokens.sparkSession)
-    return tokens.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, FILE)
+    n = count_partitions(tokens.sparkSession, -(-stored_bytes(tokens) // SHARD_BYTES))
+    # The place in the stored table parts rows of one doc_id, so that a frequent one is spread.
+    placed = tokens.withColumn("place", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange(n, "doc_id", "place").sortWithinPartitions("doc_id", "place")
+    return ranged.drop("place").mapInArrow(run, FILE)
 
 
 def read_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:

@@ -252,3 +252,13 @@ def test_columns_with_clashing_names(spark, odd):
     assert of(more) == of(odd)
     pieces = lambda docs: plain(packing.pack(docs, BYTES, 0).select("doc_id", "piece", "start", "length", "ids_crc32"))
     assert pieces(more) == pieces(odd)
+
+
+def test_a_frequent_doc_id_is_spread_over_shards(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    files, lengths = huffman_ids.encode_corpus(rows, WORDS, 2)
+    by_shard = [r["sum(n_ids)"] for r in files.groupBy("shard").sum("n_ids").collect()]
+    assert len(by_shard) == 4 and max(by_shard) < 2 * min(by_shard)
+    read = huffman_ids.read_files(files, lengths).orderBy("start").collect()
+    assert [r.doc_id for r in read] == sorted(r.doc_id for r in rows.collect())
+    assert [r.start for r in read] == [sum(x.n_tokens for x in read[:k]) for k in range(len(read))]
