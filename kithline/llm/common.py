@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +66,14 @@ def count_partitions(spark: SparkSession, wanted: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with as many more underscores as it takes to be none of ``taken``."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The named string column with nulls as empty texts."""
     return pc.fill_null(batch.column(batch.schema.get_field_index(name)), "")

@@ -34,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, stored
 
 ARRIVAL_ROWS = 4096
 TARGET_BYTES = 32 << 20
@@ -48,14 +48,6 @@ RAW = 16
 LISTED = "file string, folder string, of long, rows long, bytes long, raw long"
 
 
-def free_name(name: str, taken: Sequence[str]) -> str:
-    """``name``, with as many more underscores as it takes to be none of ``taken``."""
-    lower = {t.lower() for t in taken}
-    while name.lower() in lower:
-        name += "_"
-    return name
-
-
 class ShardedTable:
     def __init__(self, spark: SparkSession, root: str, schema, target: int = TARGET_BYTES):
         self.spark, self.root, self.schema, self.target = spark, root.rstrip("/"), schema, target

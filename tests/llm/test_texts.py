@@ -81,7 +81,9 @@ def test_simhash_equals_brute_force(spark, odd_rows):
     assert got == {i: (f"{marks[i]:016x}", least[i]) for i, _ in rows}
 
 
-def test_simhash_links_of_random_fingerprints(spark):
+@pytest.mark.parametrize("bucket", [simhash_ring.BUCKET, 0])
+def test_simhash_links_of_random_fingerprints(spark, bucket, monkeypatch):
+    monkeypatch.setattr(simhash_ring, "BUCKET", bucket)
     rng = np.random.default_rng(5)
     centres = rng.integers(0, 1 << 63, 60, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     values = []
@@ -96,15 +98,31 @@ def test_simhash_links_of_random_fingerprints(spark):
     assert {r.doc_id: r.component_id for r in simhash_ring.components(table).collect()} == smallest_reachable(marks)
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_long_paths_take_few_rounds(spark, shuffled, monkeypatch):
+    order = list(range(1001))
+    if shuffled:
+        np.random.default_rng(2).shuffle(order)
+    edges = spark.createDataFrame([(max(x, y), min(x, y)) for x, y in zip(order, order[1:], strict=False)], "a long, b long")
+    made, store = [], simhash_ring.stored
+    monkeypatch.setattr(simhash_ring, "stored", lambda df, name: made.append(name) or store(df, name))
+    found = simhash_ring.connected(edges).collect()
+    assert {r.node for r in found} == set(order) and len({r.root for r in found}) == 1
+    assert made.count("hooks") <= (8 if shuffled else 1) and (shuffled or made.count("jumps") <= 12)
+
+
 def test_one_of_each(spark, empty, odd):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "quite another text of some words here"), (3, "quite another text of some words here")]
     kept = simhash_ring.one_of_each(frame(spark, rows))
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
     assert simhash_ring.near_duplicates(empty).count() == 0 and simhash_ring.one_of_each(empty).count() == 0
     assert simhash_ring.near_duplicates(odd.withColumn("fp", F.lit(1)).withColumn("component_id", F.lit("x"))).count() == odd.count()
+    mine = odd.withColumn("__id", F.lit("mine")).withColumn("__MD5", F.lit(2)).withColumn("row", F.lit(3)).withColumn("node", F.lit(4))
+    assert simhash_ring.one_of_each(mine).columns == mine.columns and simhash_ring.one_of_each(mine).count() == simhash_ring.one_of_each(odd).count()
 
 
-def test_chains_find_every_close_pair():
+@pytest.mark.parametrize("bits", [simhash_ring.SHORT, simhash_ring.LONG])
+def test_chains_find_every_close_pair(bits):
     """Every pair of at most 4 bits shares a bucket whose chain it passes."""
     rng = np.random.default_rng(1)
     import pyarrow as pa
@@ -113,10 +131,10 @@ def test_chains_find_every_close_pair():
         a = int(rng.integers(0, 1 << 62))
         b = a ^ sum(1 << int(x) for x in rng.choice(64, rng.integers(1, 5), replace=False))
         pair = np.array([a, b], np.uint64)
-        got = list(simhash_ring._keys([pa.record_batch({"fp": pa.array(pair.view(np.int64))})]))
+        got = list(simhash_ring._keys(bits)([pa.record_batch({"fp": pa.array(pair.view(np.int64))})]))
         rows = {(k, f) for batch in got for k, f in zip(*(c.to_pylist() for c in batch.columns), strict=True)}
         shared = {k for k, _ in rows if len({f for q, f in rows if q == k}) == 2}
-        assert any(len(simhash_ring.linked(pair, k >> 26)[0]) for k in shared)
+        assert any(len(simhash_ring.linked(pair, k >> bits)[0]) for k in shared)
 
 
 def removed(rows):
