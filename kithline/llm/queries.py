@@ -85,7 +85,7 @@ kept AS (
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)
 """
 
-OP5_SQL = r"""
+OP5_SQL = rf"""
 WITH t AS (
   SELECT doc_id, coalesce("text", '') AS x, regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') AS w,
     [l FOR l IN string_split(coalesce("text", ''), chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls
@@ -96,11 +96,17 @@ again AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, (SELECT unnest(r
 counted AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(x, '[^!]', '', 'g')) AS n_bangs
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(x, '[^!]', '', 'g')) AS n_bangs,
+    len([v FOR v IN w IF regexp_matches(v, '[A-Za-z]|[^\x00-\x7F]')]) AS n_lettered,
+    len([v FOR v IN w IF list_contains(['{"', '".join(quality_cascade.STOP_WORDS)}'], translate(v, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))]) AS n_stop,
+    len([v FOR v IN w IF regexp_matches(v, '^[A-Z]{{2,}}$')]) AS n_capitals, len([i FOR i IN generate_series(2, len(w)) IF w[i] = w[i - 1]]) AS n_stutter,
+    len([l FOR l IN ls IF regexp_matches(l, '^[ \t]*[-*\x{{2022}}\x{{2023}}\x{{2013}}][ \t]')]) AS n_bullets, len([l FOR l IN ls IF regexp_matches(l, '(?:\.\.\.|\x{{2026}})[ \t\x0B\f\r]*$')]) AS n_ellipses
   FROM t LEFT JOIN again USING (doc_id)
 ), judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 2 * n_symbols > n_words OR 2 * n_bangs > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_bangs > n_words OR 2 * n_dup_lines > n_lines OR (n_lines >= 5 AND 10 * n_dup_lines > 3 * n_lines) OR word_chars < 2 * n_words
+    OR word_chars > 15 * n_words OR 10 * n_lettered < 6 * n_words OR (n_words >= 50 AND n_stop < 2) OR 2 * n_capitals > n_words OR 10 * n_stutter > 3 * n_words
+    OR 10 * n_bullets > 9 * n_lines OR 10 * n_ellipses > 3 * n_lines) AS kept
 FROM judged
 """
 

@@ -15,7 +15,7 @@ def frame(spark, rows):
 def odd_rows():
     """Nulls, empty and very long texts, ties, repeated rows, copies, odd white space and added tokens."""
     rng = random.Random(11)
-    words = [f"{a}{b}{c}" for a in "Kabé" for b in "oru" for c in ("n", "st", "ß", "漢")]
+    words = [f"{a}{b}{c}" for a in "Kabé" for b in "oru" for c in ("n", "st", "ß", "漢")] + ["the", "of"]
     text = lambda n: " ".join(rng.choice(words) for _ in range(n))
     base = text(120)
     near = base.split(" ")

@@ -12,7 +12,8 @@ import corpus_pipeline
 from kithline.llm import packing, simhash_ring
 
 from .conftest import frame
-from .test_texts import WORD, fingerprint, quality, removed, smallest_reachable
+from .test_simhash_similar import smallest_linked
+from .test_texts import WORD, quality, removed
 from .test_tokens import crc, placed
 
 
@@ -32,8 +33,8 @@ def folder(spark, rows, tmp_path_factory):
 
 
 def brute(rows):
-    kept = [(i, t) for i, t in rows if quality(t)[-1]]
-    least = smallest_reachable({i: fingerprint(t) for i, t in kept})
+    kept = [(i, t) for i, t in rows if quality(t, 3)[-1]]
+    least = smallest_linked(kept)
     kept = [(i, t) for i, t in kept if least[i] == i]
     left = []
     for (_, t), (i, n, gone, text) in zip(kept, removed(kept), strict=True):
@@ -73,7 +74,7 @@ def test_every_operator_is_registered():
 
 
 def test_quality_stage_rejects_menus_and_repeated_lines(spark):
-    words = [f"word{k}" for k in range(60)]
+    words = [*(f"word{k}" for k in range(58)), "the", "of"]
     lines = [" ".join(words[6 * k : 6 * k + 6]) for k in range(10)]
     rows = [
         (1, " | ".join(words)), (2, " ".join(words)), (3, "# " + " ".join(words)),

@@ -2,7 +2,7 @@
 
 import random
 
-from kithline.llm import shingle_jaccard
+from kithline.llm import simhash_similar
 
 from .conftest import frame
 from .test_texts import WORD, fingerprint
@@ -50,13 +50,13 @@ def test_near_copies_beyond_4_bits_are_linked(spark):
     least = smallest_linked(rows)
     far = [i for i, t in rows if least[i] != i and all((fingerprint(t) ^ fingerprint(u)).bit_count() > 4 for j, u in rows if j < i and least[j] == least[i])]
     assert len(far) >= 5  # the radius of op8 leaves these as documents of their own
-    kept = shingle_jaccard.one_of_each(frame(spark, rows))
+    kept = simhash_similar.one_of_each(frame(spark, rows))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
 
 
 def test_close_fingerprints_alone_do_not_link(spark, odd_rows, empty, odd):
     rows = [(1000 * n + i, t) for n, (i, t) in enumerate(odd_rows)]
-    kept = shingle_jaccard.one_of_each(frame(spark, rows))
+    kept = simhash_similar.one_of_each(frame(spark, rows))
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(smallest_linked(rows).values()))
-    assert shingle_jaccard.one_of_each(empty).count() == 0
+    assert simhash_similar.one_of_each(empty).count() == 0

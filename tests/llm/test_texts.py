@@ -16,7 +16,7 @@ from .conftest import frame
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def quality(text):
+def quality(text, fewest=20):
     text = text or ""
     words = WORD.findall(text)
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
@@ -24,8 +24,12 @@ def quality(text):
     covered = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 8)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     n, chars, symbols, dup, again = len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
-    failed = n < 20 or 100 * again > 30 * n
-    rejected = 2 * symbols > n or 2 * text.count("!") > n or 2 * dup > len(lines) or chars < 2 * n or chars > 15 * n
+    failed = n < fewest or 100 * again > 30 * n
+    lettered, capitals = sum(bool(re.search("[A-Za-z]|[^\0-\x7f]", w)) for w in words), sum(bool(re.fullmatch("[A-Z]{2,}", w)) for w in words)
+    stop = sum("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) in quality_cascade.STOP_WORDS for w in words)
+    stutter, bullets, ellipses = sum(a == b for a, b in zip(words, words[1:], strict=False)), sum(bool(re.match("[ \t]*[-*•‣–][ \t]", x)) for x in lines), sum(x.rstrip(" \t\x0b\f\r").endswith(("...", "…")) for x in lines)
+    rejected = 10 * symbols > n or 2 * text.count("!") > n or 2 * dup > len(lines) or (len(lines) >= 5 and 10 * dup > 3 * len(lines)) or chars < 2 * n or chars > 15 * n
+    rejected = rejected or 10 * lettered < 6 * n or (n >= 50 and stop < 2) or 2 * capitals > n or 10 * stutter > 3 * n or 10 * bullets > 9 * len(lines) or 10 * ellipses > 3 * len(lines)
     return n, chars, symbols, dup, again, failed, not failed and not rejected
 
 
@@ -34,14 +38,27 @@ def test_quality_equals_brute_force(odd, odd_rows):
     assert got == Counter((i, *quality(t)) for i, t in odd_rows)
 
 
+def test_each_own_rule_rejects(spark):
+    plain = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
+    prose = " ".join(plain) + " the of"
+    lines = lambda f: "\n".join(f(" ".join(plain[4 * k : 4 * k + 4])) for k in range(15)) + "\nthe of"
+    rows = [
+        (0, prose), (1, " ".join(plain)), (2, " ".join(f"{k} 1" for k in range(70)) + " the of"), (3, " ".join(w.upper() for w in plain) + " the of"),
+        (4, " ".join(w for w in plain[:20] for _ in range(3)) + " the of"), (5, lines(lambda x: "- " + x)), (6, lines(lambda x: x + "...")), (7, lines(lambda x: x + "… \r")), (8, lines(str)),
+        (9, " \u2022\tpoint\n" * 3 + prose), (10, "THE Of " + " ".join(plain)), (11, "the, of. " + " ".join(plain)), (12, " ".join(plain[:40])),
+    ]
+    got = {r.doc_id: r.kept for r in quality_cascade.statistics(frame(spark, rows)).collect()}
+    assert got == {i: quality(t)[-1] for i, t in rows} and sorted(i for i in got if not got[i]) == [1, 2, 3, 4, 5, 6, 7, 11]
+
+
 def test_quality_keeps_rows_whole_and_orders_by_yield(odd, odd_rows, empty):
     kept = quality_cascade.kept_rows(odd.withColumn("kept", F.lit(1)).withColumn("n_words", F.lit("x")))
     assert kept.columns == [*odd.columns, "kept", "n_words"]
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((i, t) for i, t in odd_rows if quality(t)[-1])
     assert quality_cascade.statistics(empty).count() == 0 and quality_cascade.kept_rows(empty).count() == 0
-    order = quality_cascade.order_rules(odd, quality_cascade.OWN)
+    order = quality_cascade.order_rules(odd, quality_cascade.OWN, known=quality_cascade.REPORTED)
     gains = [s / c for _, c, s in order]
-    assert gains == sorted(gains, reverse=True) and {r.name for r, _, _ in order} == {r.name for r in quality_cascade.OWN}
+    assert gains == sorted(gains, reverse=True) and order[-1][2] == 0 and {r.name for r, _, _ in order} == {r.name for r in quality_cascade.OWN}
     assert quality_cascade.statistics(odd.filter("doc_id = 12")).filter("kept").count() in (0, 1)  # with columns pruned
 
 
