@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kithline.llm import packing, quality_cascade, shingle_jaccard, substring_dedup
+from kithline.llm import packing, quality_cascade, simhash_similar, substring_dedup
 from kithline.llm.common import stored
 
 #: The end id of a packed document, and the ids of a sequence.
@@ -19,12 +19,12 @@ END, CAPACITY = 0, 2048
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects, at the limits for a corpus."""
-    return quality_cascade.kept_rows(docs, rules=(*quality_cascade.BASE, *quality_cascade.CORPUS))
+    return quality_cascade.kept_rows(docs, rules=quality_cascade.CORPUS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more, the one with the smallest doc_id."""
-    return shingle_jaccard.one_of_each(docs)
+    return simhash_similar.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
