@@ -25,7 +25,7 @@ def test_streams_hold_any_bytes(n):
     assert mpeg_media.unwrap(media, found) == text.ljust(max(1, -(-n // 576)) * 576, b"\xff")
     assert (found.skipped, found.bad_checksums, found.samples) == (0, 0, 576 * max(1, -(-n // 576)))
     name, frames, size, points = found.table
-    assert (name, frames, size, len(points)) == ("Xing", len(found.offsets), len(media) - (len(media) - size), 100)
+    assert (name, frames, size, len(points)) == ("Info", len(found.offsets), len(media) - (len(media) - size), 100)
     assert all(media[a : a + 2] == b"\xff\xf2" for a in found.offsets) and found.offsets[-1] + found.lengths[-1] == len(media)
     seek = [found.offsets[len(found.offsets) * p // 100] - (len(media) - size) for p in range(100)]
     assert list(points) == [min(255, 256 * s // size) for s in seek]
@@ -50,7 +50,111 @@ def test_scan_resynchronises_and_verifies():
 def test_headers(word, version, layer, length, samples):
     got = mpeg_media.header(word)
     assert (got.version, got.layer, got.length, got.samples) == (version, layer, length, samples)
-    assert mpeg_media.header(word | 0xF000) is None and mpeg_media.header(word & ~0xF000) is None
+    assert mpeg_media.header(word | 0xF000) is None and mpeg_media.header(word & ~0xF000).length == 0
+
+
+def plain_crc(bits):
+    """CRC-16 of a text of 0 and 1 by long division: the start value is added to the first 16 bits."""
+    rest = int(bits, 2) << 16 ^ 0xFFFF << len(bits)
+    for k in range(len(bits) - 1, -1, -1):
+        if rest >> (k + 16) & 1:
+            rest ^= 0x18005 << k
+    return rest
+
+
+def plain_parse(media):
+    """An independent reading of a wrapped stream: (payload, frame places, right checksums, frames and bytes by the table, text size)."""
+    size = media[6] * 2097152 + media[7] * 16384 + media[8] * 128 + media[9]
+    count = int(media[10 : 10 + size].split(b"bytes\0")[1])
+    at, places, payload, right, table = 10 + size, [], b"", 0, None
+    while at < len(media):
+        bits = "".join(f"{x:08b}" for x in media[at : at + 17])
+        assert bits[:15] == "111111111111001"  # MPEG-2, layer III
+        kbps = [0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160][int(bits[16:20], 2)]
+        length = 72 * kbps * 1000 // [22050, 24000, 16000][int(bits[20:22], 2)] + int(bits[22])
+        if bits[15] == "1":
+            assert media[at + 13 : at + 17] == b"Info"
+            table = [int.from_bytes(media[at + k : at + k + 4], "big") for k in (21, 25)]
+        else:
+            right += plain_crc(bits[16:32] + bits[48:120]) == int(bits[32:48], 2)
+            places.append(at)
+            n = media[at + 15] * 256 + media[at + 16]
+            payload += media[at + 17 : at + 17 + n]
+        at += length
+    return payload, places, right, table, count
+
+
+@pytest.mark.parametrize("n", [0, 1, 575, 576, 577, 5000])
+def test_streams_read_by_another_parser(n):
+    text = bytes(random.Random(n).randrange(256) for _ in range(n))
+    media = mpeg_media.wrap(text)
+    payload, places, right, table, count = plain_parse(media)
+    found = mpeg_media.scan(media)
+    assert payload == mpeg_media.padded(text) == mpeg_media.unwrap(media, found) and count == n
+    assert places == found.offsets and right == len(places) and table == [len(places), len(media) - media.index(b"Info") + 13]
+    seek = zlib.crc32(b"".join(p.to_bytes(8, "little") for p in places))
+    assert found.feature() == f"mpeg2-layer3-16000;cbr;frames={len(places)};samples={576 * len(places)};table=1;bad=0;skipped=0;seek={seek:08x}"
+
+
+@pytest.mark.parametrize(("word", "length", "bits"), [
+    (0xFFFE4404, 128, 256), (0xFFFE44C4, 128, 128), (0xFFFE4454, 128, 4 * (2 * 8 + 24)),  # layer I: stereo, mono, joint from subband 8 on
+    (0xFFFC88C0, 0, "b"), (0xFFFC8800, 0, "a44"), (0xFFFC14C4, 0, "c"), (0xFFF484C4, 0, "low"), (0xFFFC8860, 0, "joint"),
+])
+def test_checksums_of_layers_1_and_2(word, length, bits):
+    head = mpeg_media.header(word)
+    length = length or head.length
+    frames = []
+    for k in range(3):
+        body = bytearray(word.to_bytes(4, "big") + b"\0\0" + bytes(random.Random(k).randrange(256) for _ in range(length - 6)))
+        after = "".join(f"{x:08b}" for x in body[6:60])
+        if isinstance(bits, int):
+            n = bits
+        else:  # read the allocation as the standard lists it
+            wide = {"b": [4] * 11 + [3] * 12 + [2] * 7, "a44": [4] * 11 + [3] * 12 + [2] * 4, "joint": [4] * 11 + [3] * 12 + [2] * 4, "c": [4, 4] + [3] * 6, "low": [4] * 4 + [3] * 7 + [2] * 19}[bits]
+            mono, bound = head.mode == 3, 12 if bits == "joint" else 32
+            n = extra = 0
+            for band, w in enumerate(wide):
+                for _ in range(1 if mono or band >= bound else 2):
+                    used = int(after[n : n + w], 2) > 0
+                    n, extra = n + w, extra + 2 * used * (2 if band >= bound and not mono else 1)
+            n += extra
+        crc = plain_crc(f"{word & 0xFFFF:016b}" + after[:n])
+        body[4:6] = crc.to_bytes(2, "big")
+        frames.append(bytes(body))
+    whole = b"".join(frames)
+    found = mpeg_media.scan(whole)
+    assert (len(found.offsets), found.bad_checksums, found.skipped) == (3, 0, 0)
+    broken = bytearray(whole)
+    broken[length + 6] ^= 128
+    assert mpeg_media.scan(bytes(broken)).bad_checksums == 1
+
+
+def test_vbri_tables_and_free_bit_rates():
+    word, length = 0xFFF344C4, 96
+    first = bytearray(length)
+    first[:4] = word.to_bytes(4, "big")
+    first[36:62] = b"VBRI" + bytes(6) + (960).to_bytes(4, "big") + (9).to_bytes(4, "big") + (3).to_bytes(2, "big") + (1).to_bytes(2, "big") + (2).to_bytes(2, "big") + (3).to_bytes(2, "big")
+    first[62:68] = b"\0\x60\1\x20\1\x20"
+    frame = word.to_bytes(4, "big") + bytes(92)
+    found = mpeg_media.scan(bytes(first) + frame * 9)
+    assert found.table == ("VBRI", 9, 960, b"\0\x60\1\x20\1\x20") and len(found.offsets) == 9 and "table=1" in found.feature()
+    free = lambda pad: (0xFFFB0064 | pad << 9).to_bytes(4, "big") + b"\x11" * (996 + pad)
+    found = mpeg_media.scan(b"junk" + free(0) + free(1) + free(0) + free(0))
+    assert (found.lengths, found.skipped, found.kbps) == ([1000, 1001, 1000, 1000], 4, {0})
+
+
+def test_tags_of_all_versions():
+    stream = mpeg_media.wrap(b"x")
+    audio = stream[10 + stream[9] :]
+    sync = lambda n: bytes(n >> s & 127 for s in (21, 14, 7, 0))
+    old = b"TT2" + (6).to_bytes(3, "big") + b"\0title"
+    assert mpeg_media.scan(b"ID3\2\0\0" + sync(len(old)) + old + audio).tags == {"TT2": "title"}
+    text = b"\1\xff\xfe" + "naïve".encode("utf-16-le")
+    three = (b"TIT2" + len(text).to_bytes(4, "big") + b"\0\0" + text).replace(b"\xff", b"\xff\0")
+    found = mpeg_media.scan(b"ID3\3\0\x80" + sync(len(three)) + three + audio)
+    assert found.tags == {"TIT2": "naïve"} and len(found.offsets) == 1 and found.skipped == 0
+    extended = (6).to_bytes(4, "big") + bytes(6) + b"TIT2" + (3).to_bytes(4, "big") + b"\0\0\0hi"
+    assert mpeg_media.scan(b"ID3\3\0\x40" + sync(len(extended)) + extended + audio).tags == {"TIT2": "hi"}
 
 
 def test_media_table(odd, odd_rows, empty):
@@ -63,6 +167,11 @@ def test_media_table(odd, odd_rows, empty):
         want[i, len(raw), len(payload), sha(payload), zlib.crc32(payload[-32:]), len(media), sha(media)] += 1
     rows = mpeg_media.store_and_read(odd.withColumn("media", F.lit(1))).collect()
     assert Counter(tuple(r)[:7] for r in rows) == want and all(r.n_samples == r.payload_bytes for r in rows)
+    by_size = {len((t or "").encode()): plain_parse(mpeg_media.wrap((t or "").encode())) for _, t in odd_rows}
+    for r in rows:
+        payload, places, right, table, count = by_size[r.n_bytes]
+        assert [sum(r.frame_steps[: k + 1]) for k in range(len(r.frame_steps))] == places and r.sample_rate == 16000
+        assert r.feature == f"mpeg2-layer3-16000;cbr;frames={len(places)};samples={576 * len(places)};table=1;bad=0;skipped=0;seek={zlib.crc32(b''.join(p.to_bytes(8, 'little') for p in places)):08x}"
     assert mpeg_media.store_and_read(empty).count() == 0
 
 
