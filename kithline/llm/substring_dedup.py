@@ -9,21 +9,25 @@ the same text.  All windows are judged on the input.
    Differences of that cover reach every residue, so two equal windows share an
    anchor at the same shift below 13, which lies inside both: 12 + 8 = 20.  Each
    chunk sends each of its anchor hashes once to the hash's bucket; the answer
-   is a bitmap of those that occur elsewhere or twice in the chunk.
+   has a flag for each that occurs elsewhere or twice in the chunk.
 3. Extension: windows that contain a repeated anchor (all others are unique) are
-   hashed as a whole; each chunk sends each such hash once with the smallest
-   doc_id that has it, and is told which of them start earlier elsewhere.
+   hashed as a whole, twice; each chunk sends each such pair of hashes once with the
+   smallest doc_id that has it, and is told which of them start earlier elsewhere.
 4. Words under windows that start earlier are removed.
 
 A chunk sends a value once, however often it holds it, so a passage of a third
-of all texts costs its bucket one value for each chunk.  An anchor hash that
-collides only costs a check; a window is identified by 64 bits and its bucket,
-which comes from a second hash.
+of all texts costs its bucket one value for each chunk.  Buckets grow with the
+corpus, so that one is held by a task; what a chunk sends to a bucket is one row of
+plain values, made without a step of its own, so that rows of few values are cheap.
+An anchor hash that collides only costs a check.  A window is identified by 128 bits
+of two independent hashes of its words: of 10**14 different windows two are taken
+for one with a probability of 10**-11.
 
 Defined results: a null text has no words; texts shorter than a window are kept
-whole; of repeated rows one counts as the earlier; a null doc_id stands after
-all others; an empty table gives an empty table; further columns are kept by
-:func:`removed_rows` and ignored by :func:`digests`.
+whole; a very long text is a chunk of its own, read whole; of repeated rows, and of
+texts of one doc_id, one counts as the earlier; a null doc_id stands after all
+others; an empty table gives an empty table; further columns, whatever their names,
+are kept by :func:`removed_rows` and ignored by :func:`digests`.
 """
 
 from __future__ import annotations
@@ -34,7 +38,6 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,23 +54,9 @@ CHUNK_BYTES = 3 << 20
 #: Anchors a bucket holds on average, at most.
 BUCKET_ANCHORS = 1 << 20
 LAST = np.iinfo(np.int64).max
-SENT = "bucket int, chunk long, n int, body binary"
-TOLD = "chunk long, bucket int, bits binary"
-
-
-def _pack(*arrays: np.ndarray) -> bytes:
-    head = np.array([len(a.tobytes()) for a in arrays], np.int64).tobytes()
-    return zstandard.compress(head + b"".join(a.tobytes() for a in arrays), 1)
-
-
-def _unpack(body: bytes, *kinds: type) -> list[np.ndarray]:
-    raw = zstandard.decompress(body)
-    sizes = np.frombuffer(raw[: 8 * len(kinds)], np.int64)
-    out, at = [], 8 * len(kinds)
-    for size, kind in zip(sizes.tolist(), kinds, strict=True):
-        out.append(np.frombuffer(raw[at : at + size], kind))
-        at += size
-    return out
+SENT = "bucket int, chunk long, body binary"
+SENT_WINDOWS = SENT + ", ids binary"
+TOLD = "chunk long, bucket int, flags binary"
 
 
 def _as_chunks(doc_id: str, text: str) -> Callable:
@@ -102,53 +91,41 @@ class Chunk:
         self.left = self.words.counts[self.doc] - self.place  # words from here to the text's end
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct keys (bucket above 32 bits of hash), counts, and for each anchor its key's index and place."""
+        """Sorted distinct keys (bucket above 31 bits of hash), counts, and for each anchor its key's index and place."""
         n = max(0, len(self.words) - ANCHOR + 1)
         at = np.flatnonzero(np.isin(self.place[:n] % PERIOD, COVER) & (self.left[:n] >= ANCHOR) & (self.words.counts[self.doc[:n]] >= WINDOW))
-        keys = rolling(self.hashes, ANCHOR)[at] >> np.uint64(32 - self.log)
+        keys = rolling(self.hashes, ANCHOR)[at] >> np.uint64(33 - self.log)
         distinct, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
         return distinct, counts, inverse, at
 
-    def candidates(self, told: dict[int, np.ndarray]) -> np.ndarray:
+    def candidates(self, told: np.ndarray) -> np.ndarray:
         """Starts of windows that contain an anchor that occurs more than once."""
-        distinct, _, inverse, at = self.anchors()
+        _, _, inverse, at = self.anchors()
         again = np.zeros(len(self.words) + WINDOW + 1, np.int64)
-        again[at + 1] = self._answers(distinct >> np.uint64(32), told)[inverse]
+        again[at + 1] = told[inverse]
         upto = np.cumsum(again)
         starts = np.flatnonzero(self.left >= WINDOW)
         return starts[upto[starts + PERIOD] > upto[starts]]
 
-    def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of candidate windows: whether each repeats an earlier one here; bucket and start of the others, in that order."""
-        value = rolling(self.hashes, WINDOW)[starts]
-        bucket = (rolling(self.hashes, WINDOW, 0xC2B2AE3D27D4EB4F)[starts] >> np.uint64(63 - self.log)) >> np.uint64(1)
-        order = np.lexsort((value, bucket))
-        v, b = value[order], bucket[order]
+    def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of candidate windows: both hashes; whether each repeats an earlier one here; the indices of the others, by bucket."""
+        value, other = rolling(self.hashes, WINDOW)[starts], rolling(self.hashes, WINDOW, 0xC2B2AE3D27D4EB4F)[starts]
+        order = np.lexsort((value, other))
+        v, w = value[order], other[order]
         head = np.ones(len(order), bool)
-        head[1:] = (v[1:] != v[:-1]) | (b[1:] != b[:-1])
+        head[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
         later = np.ones(len(starts), bool)
         later[order[head]] = False
-        ones = np.flatnonzero(~later)
-        ones = ones[np.argsort(bucket[ones], kind="stable")]
-        return later, bucket[ones], ones
-
-    @staticmethod
-    def _answers(buckets: np.ndarray, told: dict[int, np.ndarray]) -> np.ndarray:
-        """The bitmaps of ascending buckets as one array."""
-        out = np.zeros(len(buckets), bool)
-        if not len(buckets):
-            return out
-        heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
-        for a, z in zip(heads.tolist(), [*heads[1:].tolist(), len(buckets)], strict=True):
-            if (bits := told.get(int(buckets[a]))) is not None:
-                out[a:z] = np.unpackbits(bits, count=z - a)
-        return out
-
-    def removed(self, anchors: dict[int, np.ndarray], windows: dict[int, np.ndarray]) -> np.ndarray:
+        return value, other, later, order[head]  # in the order of the other hash, whose first bits are the bucket
+
+    def bucket(self, other: np.ndarray) -> np.ndarray:
+        return (other >> np.uint64(63 - self.log)) >> np.uint64(1)
+
+    def removed(self, anchors: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """Whether each word goes."""
         starts = self.candidates(anchors)
-        later, buckets, ones = self.windows(starts)
-        later[ones] = self._answers(buckets, windows)
+        _, _, later, ones = self.windows(starts)
+        later[ones] = windows
         edge = np.zeros(len(self.words) + 1, np.int32)
         gone = starts[later]
         edge[gone] += 1
@@ -156,16 +133,24 @@ class Chunk:
         return np.cumsum(edge[:-1]) > 0
 
 
-def _told(column: pa.Array, k: int) -> dict[int, np.ndarray]:
-    got = column[k].as_py() if column is not None else None
-    return {x["bucket"]: np.frombuffer(x["bits"], np.uint8) for x in got or ()}
+def _told(column: pa.Array, k: int) -> np.ndarray:
+    """A chunk's flags, in the order of its buckets, in which they come."""
+    got = column[k].values
+    return np.frombuffer(b"".join(got.field("flags").to_pylist()) if got is not None else b"", np.uint8).astype(bool)
 
 
-def _rows_of(buckets: np.ndarray, chunk: int, pack: Callable[[int, int], bytes]) -> pa.RecordBatch:
+def _pieces(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Consecutive pieces of an array as binaries."""
+    at = np.concatenate([[0], ends]).astype(np.int64) * (values.nbytes // max(1, len(values)))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(values.tobytes())]).cast(pa.binary())
+
+
+def _rows_of(buckets: np.ndarray, chunk: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each of the ascending buckets, with its part of every column (of rows of values)."""
     heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else np.zeros(0, int)
     ends = np.r_[heads[1:], len(buckets)] if len(heads) else heads
-    bodies = [pack(a, z) for a, z in zip(heads.tolist(), ends.tolist(), strict=True)]
-    return pa.record_batch({"bucket": pa.array(buckets[heads].astype(np.int32)), "chunk": pa.array([chunk] * len(heads), pa.int64()), "n": pa.array((ends - heads).astype(np.int32)), "body": pa.array(bodies, pa.binary())})
+    bodies = [_pieces(c, ends) for c in columns]
+    return pa.record_batch([pa.array(buckets[heads].astype(np.int32)), pa.array(np.full(len(heads), chunk, np.int64)), *bodies], ["bucket", "chunk", "body", "ids"][: 2 + len(bodies)])
 
 
 def _send_anchors(names: tuple[str, str], log: int) -> Callable:
@@ -174,9 +159,8 @@ def _send_anchors(names: tuple[str, str], log: int) -> Callable:
         for batch in batches:
             for k in range(batch.num_rows):
                 distinct, counts, _, _ = Chunk(batch.column(1)[k].as_py(), *names, log).anchors()
-                low = distinct.astype(np.uint32)
-                pack = lambda a, z, low=low, counts=counts: _pack(np.diff(low[a:z], prepend=np.uint32(0)), np.packbits(counts[a:z] > 1))
-                yield _rows_of(distinct >> np.uint64(32), batch.column(0)[k].as_py(), pack)
+                marked = (distinct << np.uint64(1)).astype(np.uint32) | (counts > 1)
+                yield _rows_of(distinct >> np.uint64(31), batch.column(0)[k].as_py(), marked.astype(np.uint32))
         give_back()
 
     return run
@@ -189,71 +173,62 @@ def _send_windows(names: tuple[str, str], log: int) -> Callable:
             for k in range(batch.num_rows):
                 chunk = Chunk(batch.column(1)[k].as_py(), *names, log)
                 starts = chunk.candidates(_told(batch.column(2), k))
-                _, buckets, ones = chunk.windows(starts)
-                at = starts[ones]
-                value, ids = rolling(chunk.hashes, WINDOW)[at], chunk.ids[chunk.doc[at]]
-
-                def pack(a: int, z: int, value=value, ids=ids) -> bytes:
-                    own = ids[a:z]
-                    heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                    return _pack(value[a:z], own[heads], np.diff(np.r_[heads, z - a]).astype(np.int32))
-
-                yield _rows_of(buckets, batch.column(0)[k].as_py(), pack)
+                value, other, _, ones = chunk.windows(starts)
+                both = np.stack([value[ones], other[ones]], axis=1)
+                yield _rows_of(chunk.bucket(other[ones]), batch.column(0)[k].as_py(), both, chunk.ids[chunk.doc[starts[ones]]].astype(np.int64))
         give_back()
 
     return run
 
 
-def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[int], list[bytes]]]:
-    """Each bucket's chunks, counts and bodies; rows come sorted by bucket."""
-    now, chunks, counts, bodies = None, [], [], []
+def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[list[bytes]]]]:
+    """Each bucket's chunks and bodies; rows come sorted by bucket."""
+    now, rows = None, []
     for batch in batches:
-        for bucket, chunk, n, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != now and chunks:
-                yield now, chunks, counts, bodies
-                chunks, counts, bodies = [], [], []
+        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != now and rows:
+                yield now, *_turned(rows)
+                rows = []
             now = bucket
-            chunks.append(chunk)
-            counts.append(n)
-            bodies.append(body)
-    if chunks:
-        yield now, chunks, counts, bodies
+            rows.append(row)
+    if rows:
+        yield now, *_turned(rows)
+
+
+def _turned(rows: list) -> tuple[list[int], list[list[bytes]]]:
+    chunks, *bodies = map(list, zip(*rows, strict=True))
+    return chunks, bodies
 
 
-def _tell(bucket: int, chunks: list[int], counts: list[int], flags: np.ndarray) -> pa.RecordBatch:
-    ends = np.cumsum(counts)
-    bits = [np.packbits(flags[z - n : z]).tobytes() for n, z in zip(counts, ends.tolist(), strict=True)]
-    return pa.record_batch({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([bucket] * len(chunks), pa.int32()), "bits": pa.array(bits, pa.binary())})
+def _tell(bucket: int, chunks: list[int], sizes: list[int], flags: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array(np.full(len(chunks), bucket, np.int32)), "flags": _pieces(flags.astype(np.uint8), np.cumsum(sizes))})
 
 
 def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for bucket, chunks, counts, bodies in _by_bucket(batches):
-        got = [_unpack(b, np.uint32, np.uint8) for b in bodies]
-        low = np.concatenate([np.cumsum(x, dtype=np.uint32) for x, _ in got])
-        twice = np.concatenate([np.unpackbits(x, count=n) for (_, x), n in zip(got, counts, strict=True)]).astype(bool)
+    for bucket, chunks, (bodies,) in _by_bucket(batches):
+        marked = np.frombuffer(b"".join(bodies), np.uint32)
+        low, again = marked >> np.uint32(1), (marked & np.uint32(1)).astype(bool)
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
-        again = np.zeros(len(low), bool)
         again[order[1:]] |= same
         again[order[:-1]] |= same
-        yield _tell(bucket, chunks, counts, again | twice)
+        yield _tell(bucket, chunks, [len(b) // 4 for b in bodies], again)
 
 
 def _not_first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for bucket, chunks, counts, bodies in _by_bucket(batches):
-        got = [_unpack(b, np.uint64, np.int64, np.int32) for b in bodies]
-        value = np.concatenate([x for x, _, _ in got])
-        ids = np.concatenate([np.repeat(x, n) for _, x, n in got])
-        order = np.lexsort((np.repeat(chunks, counts), ids, value))
-        later = np.zeros(len(value), bool)
-        later[order[1:]] = value[order][1:] == value[order][:-1]
-        yield _tell(bucket, chunks, counts, later)
+    for bucket, chunks, (bodies, owners) in _by_bucket(batches):
+        both, ids = np.frombuffer(b"".join(bodies), np.uint64).reshape(-1, 2), np.frombuffer(b"".join(owners), np.int64)
+        sizes = [len(x) // 8 for x in owners]
+        order = np.lexsort((np.repeat(chunks, sizes), ids, both[:, 0], both[:, 1]))
+        later = np.zeros(len(ids), bool)
+        later[order[1:]] = (both[order][1:] == both[order][:-1]).all(axis=1)
+        yield _tell(bucket, chunks, sizes, later)
 
 
 def _answered(sent: DataFrame, answer: Callable, name: str) -> DataFrame:
     """One row for each chunk with what its buckets answer."""
     told = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, TOLD)
-    return stored(told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias(name)), name)
+    return stored(told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "flags"))).alias(name)), name)
 
 
 def _prepared(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
@@ -266,7 +241,7 @@ def _prepared(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
     bodies = chunks.select("chunk", "texts")
     anchors = _answered(bodies.mapInArrow(_send_anchors((doc_id, text), log), SENT), _repeated, "anchors")
     with_anchors = bodies.join(anchors, "chunk", "left").select("chunk", "texts", "anchors")
-    windows = _answered(with_anchors.mapInArrow(_send_windows((doc_id, text), log), SENT), _not_first, "windows")
+    windows = _answered(with_anchors.mapInArrow(_send_windows((doc_id, text), log), SENT_WINDOWS), _not_first, "windows")
     return bodies.join(anchors, "chunk", "left").join(windows, "chunk", "left").select("chunk", "texts", "anchors", "windows"), log
 
 
