@@ -40,7 +40,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, shared_dir, slices, stored, text_column
+from .common import STEP_BYTES, forget, frugal, shared_dir, slices, stored, text_column
 from .tokens import byte_names, spread, units_of
 
 #: Words of the lexicon, and words that a task names, at most.
@@ -62,8 +62,9 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = LEXICON) ->
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         total = None
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", STEP_BYTES // 2):
             units = units_of(text_column(part, "text"))[0]
             units = units.filter(pc.less_equal(pc.binary_length(units), WORD_BYTES))
             counted = pc.value_counts(units)
@@ -406,7 +407,8 @@ def round_trip(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "
     name = build(docs, file, text, size)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        frugal()
+        for part in slices(batches, "text", STEP_BYTES // 2):
             lexicon = opened(name, file)
             ids, bounds = lexicon.encode(text_column(part, "text"))
             raw, at = lexicon.decode(ids, bounds)
@@ -427,7 +429,8 @@ def encoded(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "tex
     name = build(docs, file, text, size)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        frugal()
+        for part in slices(batches, "text", STEP_BYTES // 2):
             ids, bounds = opened(name, file).encode(text_column(part, "text"))
             raw = ids.tobytes()
             bodies = [raw[4 * a : 4 * z] for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
