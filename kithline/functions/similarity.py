@@ -112,8 +112,36 @@ def edit_ratio(a: str, b: str) -> float:
     return 2.0 * lcs(masks_of(a), len(a), b) / (len(a) + len(b)) if a != b else 1.0
 
 
+def _windows(short: str, long: str) -> list[tuple[float, int, int]]:
+    """Windows of ``long`` of the other's length or cut at an end: an upper bound of the edit ratio, begin and end.
+
+    The bound counts the characters that both hold; from one window to the next a
+    character comes and one goes.
+    """
+    m, n = len(short), len(long)
+    open_, shared, out = {}, 0, []
+    for c in short:
+        open_[c] = open_.get(c, 0) + 1
+    for end in range(1, n + m):
+        if end <= n:
+            c = long[end - 1]
+            open_[c] = open_.get(c, 0) - 1
+            shared += open_[c] >= 0
+        begin = end - m
+        if begin > 0:
+            c = long[begin - 1]
+            shared -= open_[c] >= 0
+            open_[c] += 1
+        a, z = max(0, begin), min(end, n)
+        out.append((2.0 * shared / (m + z - a), a, z))
+    return out
+
+
 def best_window(a: str, b: str) -> float:
-    """The best edit ratio of the shorter string and a window of the longer, of its length or cut at an end."""
+    """The best edit ratio of the shorter string and a window of the longer, of its length or cut at an end.
+
+    Windows are looked at in the order of their bounds, until none can be better.
+    """
     if not a or not b:
         return float(a == b)
     if a in b or b in a:
@@ -122,8 +150,10 @@ def best_window(a: str, b: str) -> float:
     best = 0.0
     for short, long in pairs:
         m, masks = len(short), masks_of(short)
-        windows = {long[:i] for i in range(1, m)} | {long[i : i + m] for i in range(len(long) - m + 1)} | {long[i:] for i in range(max(0, len(long) - m), len(long))}
-        best = max(best, *(2.0 * lcs(masks, m, w) / (m + len(w)) for w in windows))
+        for bound, begin, end in sorted(_windows(short, long), reverse=True):
+            if bound <= best:
+                break
+            best = max(best, 2.0 * lcs(masks, m, long[begin:end]) / (m + end - begin))
     return best
 
 

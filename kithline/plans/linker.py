@@ -16,7 +16,7 @@ from ..operators import candidates as cand
 from ..operators import decide, evaluate, models, thresholds
 from ..operators.features import extract
 from ..operators.labels import create_split, label_pairs
-from ..schema import CAND, S1, Settings
+from ..schema import CAND, S1, TRUTH_COLUMNS, Settings
 from ..sources import tsv
 
 log = logging.getLogger("kithline")
@@ -50,8 +50,16 @@ class Linker:
         self.spark, self.settings, self.model = spark, settings or Settings(), model
         self.threshold = self.settings.threshold if threshold is None else threshold
 
+        self._held: list[DataFrame] = []
+
     def _kept(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self._held[-1]
+
+    def release(self) -> None:
+        """Unpersist what this linker keeps; results that are still to be read would be computed again."""
+        while self._held:
+            self._held.pop().unpersist()
 
     def _pairs(self, s1: DataFrame, s2: DataFrame, s3: DataFrame) -> DataFrame:
         return self._kept(cand.generate(s1, s2, s3, self.settings.strategies, self.settings))
@@ -79,6 +87,7 @@ class Linker:
         self.threshold = tuned if s.threshold is None else s.threshold
         results = decide.match_output(thresholds.apply_threshold(scored, self.threshold), cand.s1_ids(val), None, val_pairs if s.enforce_candidates else None)
         figures = evaluate.macro_f05(results, parts.truth_val).first().asDict() | {f"pair_{k}": v for k, v in pair_figures.items()}
+        self.release()
         return {"model": self.model, "threshold": self.threshold, "val_metrics": figures, "candidate_recall_train": covered, "elapsed_seconds": time.time() - began}
 
     def evaluate(self, s1: DataFrame, s2: DataFrame, s3: DataFrame, truth: DataFrame) -> dict:
@@ -88,10 +97,15 @@ class Linker:
         val, two, three = map(self._kept, preprocess_all(parts.s1_val, s2, s3))
         pairs = self._pairs(val, two, three)
         results = decide.match_output(self.score(pairs, val, two.unionByName(three)), cand.s1_ids(val), None, pairs if s.enforce_candidates else None)
-        return evaluate.full_report(results, parts.truth_val, pairs).first().asDict()
+        report = evaluate.full_report(results, parts.truth_val, pairs).first().asDict()
+        self.release()
+        return report
 
     def predict(self, s1: DataFrame, s2: DataFrame, s3: DataFrame) -> Prediction:
-        """Match lists of all S1 records; ``RuntimeError`` if they break a rule."""
+        """Match lists of all S1 records; ``RuntimeError`` if they break a rule.
+
+        Call :meth:`release` when the result has been read.
+        """
         one, two, three = map(self._kept, preprocess_all(s1, s2, s3))
         pool = two.unionByName(three)
         pairs = self._pairs(one, two, three)
@@ -107,7 +121,7 @@ class Linker:
 
 def run_train(spark: SparkSession, paths: Paths, settings: Settings | None = None) -> dict:
     linker = Linker(spark, settings)
-    out = linker.fit(*tsv.load_train_data(spark, paths.s1, paths.s2, paths.s3, paths.truth))
+    out = linker.fit(*tsv.load_train_data(spark, paths.s1, paths.s2, paths.s3, paths.truth, linker.settings.multi_line))
     models.save_model(linker.model, paths.model)
     tsv.save_threshold(spark, linker.threshold, paths.threshold)
     return out
@@ -119,14 +133,18 @@ def _loaded(spark: SparkSession, paths: Paths, settings: Settings) -> Linker:
 
 
 def run_validate(spark: SparkSession, paths: Paths, settings: Settings | None = None) -> dict:
-    return _loaded(spark, paths, settings or Settings()).evaluate(*tsv.load_train_data(spark, paths.s1, paths.s2, paths.s3, paths.truth))
+    settings = settings or Settings()
+    return _loaded(spark, paths, settings).evaluate(*tsv.load_train_data(spark, paths.s1, paths.s2, paths.s3, paths.truth, settings.multi_line))
 
 
 def run_predict(spark: SparkSession, paths: Paths, settings: Settings | None = None) -> DataFrame:
-    found = _loaded(spark, paths, settings or Settings()).predict(*tsv.load_test_data(spark, paths.s1, paths.s2, paths.s3))
+    settings = settings or Settings()
+    linker = _loaded(spark, paths, settings)
+    found = linker.predict(*tsv.load_test_data(spark, paths.s1, paths.s2, paths.s3, settings.multi_line))
     tsv.write_matching_results(found.results, paths.results)
     tsv.write_candidate_pairs(found.candidates, paths.candidates)
-    return found.results
+    linker.release()
+    return tsv.read_tsv(spark, paths.results, TRUTH_COLUMNS, multi_line=False).fillna("")
 
 
 def run_all(spark: SparkSession, train: Paths, test: Paths, settings: Settings | None = None) -> DataFrame:

@@ -1,72 +1,98 @@
-"""Registered linkage queries over a stand-in register made of ``documents``, and their DuckDB equivalents.
+"""Registered linkage queries over a stand-in register made of ``pages``, and their DuckDB equivalents.
 
-entity_id spreads documents over S1, S2 and S3 by doc_id modulo 3; the name is the
-first 60 characters of the first line, the address the 60 characters after the
-60th, the country the language; records with equal texts are matches.
+entity_id spreads pages over S1, S2 and S3 by page_id modulo 3; the name is a page's
+whole title, the address its whole url, the country its language; records that show
+the same document - the number in the last segment of the url - are matches.
+
+Pairs are those of the default strategies and limits.  What a query uses more than
+once - the preprocessed register, the pairs, the truth - is made once and stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property, reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as txt
 from .operators import blocking, candidates, decide, evaluate, features, labels, models, thresholds
 from .operators.features import extract
-from .schema import CAND, S1, Settings
+from .plans.linker import Linker
+from .schema import CAND, S1, SOURCE_COLUMNS, TRUTH_COLUMNS, Settings
 from .sources import tsv
+from .tables import new_path, stored
 
-Frames = tuple[DataFrame, DataFrame]
+#: Fields of a page, as Java and RE2 patterns alike; an entity is what its url's last segment numbers.
+TITLE, LANG, SHOWN = r"(?is)<title[^>]*>(.*?)</title>", r'(?i)<html[^>]*\slang="([^"]*)"', r"/([0-9]+)(/|\.html)?([?#].*)?$"
 
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    entity = F.concat(F.lit("S"), (1 + F.col("doc_id") % 3).cast("string"), F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 7, "0"))
-    return docs.select(entity.alias("entity_id"), F.substring(F.substring_index("text", "\n", 1), 1, 60).alias("business_name"), F.substring("text", 61, 60).alias("business_address"), F.col("lang").alias("country"), F.md5("text").alias("text_md5"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    entity = F.concat(F.lit("S"), (1 + F.col("page_id") % 3).cast("string"), F.lit("-"), F.lpad(F.col("page_id").cast("string"), 7, "0"))
+    shown = F.regexp_extract("url", SHOWN, 1).try_cast("bigint")
+    return pages.select(entity.alias("entity_id"), F.regexp_extract("html", TITLE, 1).alias("business_name"), F.col("url").alias("business_address"), F.regexp_extract("html", LANG, 1).alias("country"), shown.alias("shown"))
 
 
 def _of(df: DataFrame, *names: str) -> DataFrame:
     return df.filter(F.substring("entity_id", 1, 2).isin(*names))
 
 
-def sides(spark: SparkSession, sf_dir: str) -> Frames:
-    """Preprocessed S1, and S2 with S3."""
-    both = txt.preprocess(register(spark, sf_dir))
-    return _of(both, "S1"), _of(both, "S2", "S3")
+class Linkage:
+    """The tables that a query is made of; each is made when it is first asked for, and stored."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def register(self) -> DataFrame:
+        return stored(register(self.spark, self.sf_dir), "register")
 
+    @cached_property
+    def rows(self) -> DataFrame:
+        return stored(txt.preprocess(self.register), "preprocessed")
 
-def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = register(spark, sf_dir).select("entity_id", "text_md5")
-    one = _of(rows, "S1").withColumnRenamed("entity_id", S1)
-    other = _of(rows, "S2", "S3").withColumnRenamed("entity_id", CAND)
-    groups = candidates.grouped(one.join(other, "text_md5").select(S1, CAND), out="matched_entity_ids")
-    return candidates.with_all_ids(groups, one, "matched_entity_ids")
+    def of(self, *names: str) -> DataFrame:
+        return _of(self.rows, *names)
 
+    @property
+    def sides(self) -> tuple[DataFrame, DataFrame]:
+        """S1, and S2 with S3."""
+        return self.of("S1"), self.of("S2", "S3")
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one, pool = sides(spark, sf_dir)
-    return blocking.exact_name(one, pool).unionByName(blocking.token_address(one, pool)).distinct()
+    @property
+    def ids(self) -> DataFrame:
+        return candidates.s1_ids(_of(self.register, "S1"))
 
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return stored(candidates.generate(self.of("S1"), self.of("S2"), self.of("S3")), "candidates")
 
-def _features(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
-    one, pool = sides(spark, sf_dir)
-    found = extract(pairs(spark, sf_dir), one, pool, only=names)
-    return found.select(S1, CAND, *[F.round(n, 6).alias(n) for n in names])
+    @property
+    def pairs(self) -> DataFrame:
+        return self.candidates.select(S1, CAND)
 
+    @cached_property
+    def truth(self) -> DataFrame:
+        one, other = _of(self.register, "S1").select(F.col("entity_id").alias(S1), "shown"), _of(self.register, "S2", "S3").select(F.col("entity_id").alias(CAND), "shown")
+        groups = candidates.grouped(one.join(other, "shown").select(S1, CAND), out="matched_entity_ids")
+        return stored(candidates.with_all_ids(groups, one, "matched_entity_ids"), "truth")
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled pairs with a deterministic score."""
-    one, pool = sides(spark, sf_dir)
-    scored = extract(pairs(spark, sf_dir), one, pool, only=["name_jaccard"]).withColumnRenamed("name_jaccard", "probability")
-    return labels.label_pairs(scored, truth(spark, sf_dir))
+    def features(self, names: list[str]) -> DataFrame:
+        found = extract(self.pairs, *self.sides, only=names)
+        return found.select(S1, CAND, *[F.round(n, 6).alias(n) for n in names])
 
+    def scored(self) -> DataFrame:
+        """Labelled pairs with a deterministic score."""
+        return labels.label_pairs(extract(self.pairs, *self.sides, only=["name_jaccard"]).withColumnRenamed("name_jaccard", "probability"), self.truth)
 
-def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one, pool = sides(spark, sf_dir)
-    scored = thresholds.apply_threshold(_scored(spark, sf_dir), 0.5)
-    return decide.match_output(scored, candidates.s1_ids(one), pool.select(F.col("entity_id").alias(CAND)), pairs(spark, sf_dir))
+    @cached_property
+    def results(self) -> DataFrame:
+        scored = thresholds.apply_threshold(self.scored(), 0.5)
+        return stored(decide.match_output(scored, self.ids, _of(self.register, "S2", "S3").select(F.col("entity_id").alias(CAND)), self.pairs), "results")
 
 
 def normalize_name(spark, sf_dir):
@@ -82,9 +108,10 @@ def normalize_country(spark, sf_dir):
 
 
 def tokens(spark, sf_dir):
-    rows = txt.preprocess(register(spark, sf_dir))
+    rows = txt.preprocess_all(*(_of(register(spark, sf_dir), f"S{k}") for k in (1, 2, 3)))
     joined = lambda c: F.array_join(c, " ")
-    return rows.select("entity_id", joined("name_tokens").alias("name_tokens"), joined("address_tokens").alias("address_tokens"), joined(F.array_sort(txt.token_set(F.col("business_name_normalized")))).alias("name_token_set"))
+    in_order = lambda c: joined(F.array_sort(txt.token_set(F.col(c))))
+    return reduce(DataFrame.unionByName, rows).select("entity_id", joined("name_tokens").alias("name_tokens"), joined("address_tokens").alias("address_tokens"), in_order("business_name_normalized").alias("name_token_set"), in_order("business_address_normalized").alias("address_token_set"))
 
 
 def ascii_safe(spark, sf_dir):
@@ -92,135 +119,164 @@ def ascii_safe(spark, sf_dir):
 
 
 def block_exact_name(spark, sf_dir):
-    return blocking.exact_name(*sides(spark, sf_dir))
+    return blocking.exact_name(*Linkage(spark, sf_dir).sides)
 
 
 def block_token_name(spark, sf_dir):
-    return blocking.token_name(*sides(spark, sf_dir))
+    return blocking.token_name(*Linkage(spark, sf_dir).sides)
 
 
 def block_token_name_2(spark, sf_dir):
-    return blocking.token_name(*sides(spark, sf_dir), min_shared=2)
+    return blocking.token_name(*Linkage(spark, sf_dir).sides, min_shared=2)
 
 
 def block_token_address(spark, sf_dir):
-    return blocking.token_address(*sides(spark, sf_dir))
+    return blocking.token_address(*Linkage(spark, sf_dir).sides)
 
 
 def block_country_aware(spark, sf_dir):
-    return blocking.country_aware(*sides(spark, sf_dir))
+    return blocking.country_aware(*Linkage(spark, sf_dir).sides)
 
 
 def block_country_exact(spark, sf_dir):
-    return blocking.country_aware(*sides(spark, sf_dir), inner="exact_name")
+    return blocking.country_aware(*Linkage(spark, sf_dir).sides, inner="exact_name")
 
 
 def block_tfidf_topk(spark, sf_dir):
-    return blocking.tfidf_scores(*sides(spark, sf_dir)).select(S1, CAND, F.round("score", 6).alias("score"))
+    return blocking.tfidf_scores(*Linkage(spark, sf_dir).sides).select(S1, CAND, F.round("score", 6).alias("score"))
 
 
-def _generated(spark, sf_dir, limit):
-    both = txt.preprocess(register(spark, sf_dir))
-    settings = Settings(strategies=("exact_name", "token_address"), max_candidates=limit)
-    return candidates.generate(_of(both, "S1"), _of(both, "S2"), _of(both, "S3"), settings=settings)
+def block_tfidf_kernel(spark, sf_dir):
+    """The same by the other physical path."""
+    return blocking.tfidf_scores(*Linkage(spark, sf_dir).sides, kernel=True).select(S1, CAND, F.round("score", 6).alias("score"))
 
 
 def candidates_capped(spark, sf_dir):
-    return _generated(spark, sf_dir, 5)
+    own = Linkage(spark, sf_dir)
+    return candidates.generate(own.of("S1"), own.of("S2"), own.of("S3"), settings=Settings(max_candidates=5))
 
 
 def candidates_grouped(spark, sf_dir):
-    return candidates.with_all_ids(candidates.grouped(_generated(spark, sf_dir, 500)), candidates.s1_ids(_of(register(spark, sf_dir), "S1")))
+    own = Linkage(spark, sf_dir)
+    return candidates.with_all_ids(candidates.grouped(own.candidates), own.ids)
+
+
+def candidates_by_pool(spark, sf_dir):
+    """Pairs turned around: the S1 records of each candidate."""
+    own = Linkage(spark, sf_dir)
+    pool = own.of("S2", "S3").select(F.col("entity_id").alias(S1))
+    return candidates.pairs_to_grouped(own.pairs, CAND, S1, pool).select(F.col(S1).alias(CAND), F.col("source1_entity_ids").alias("source1_entity_ids"))
 
 
 def strategy_contributions(spark, sf_dir):
-    return blocking.contributions(*sides(spark, sf_dir), ["exact_name", "token_address"])
+    return blocking.contributions(*Linkage(spark, sf_dir).sides, list(Settings().strategies))
 
 
 def sim_jaccard(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_jaccard", "addr_jaccard", "name_exact_match"])
+    return Linkage(spark, sf_dir).features(["name_jaccard", "addr_jaccard", "name_exact_match"])
 
 
 def sim_overlap(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_token_overlap_s1", "name_token_overlap_cand", "addr_token_overlap_s1", "addr_token_overlap_cand"])
+    return Linkage(spark, sf_dir).features(["name_token_overlap_s1", "name_token_overlap_cand", "addr_token_overlap_s1", "addr_token_overlap_cand"])
 
 
 def sim_ngram(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_trigram_overlap", "name_bigram_overlap", "addr_trigram_overlap"])
+    return Linkage(spark, sf_dir).features(["name_trigram_overlap", "name_bigram_overlap", "addr_trigram_overlap"])
 
 
 def len_diffs(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_len_diff", "name_token_count_diff", "addr_len_diff"])
+    return Linkage(spark, sf_dir).features(["name_len_diff", "name_token_count_diff", "addr_len_diff"])
 
 
 def missing_flags(spark, sf_dir):
-    return _features(spark, sf_dir, ["country_exact_match", *features.FEATURES[18:]])
+    return Linkage(spark, sf_dir).features(["country_exact_match", *features.FEATURES[18:]])
 
 
 def sim_edit(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_edit_similarity", "addr_edit_similarity"])
+    return Linkage(spark, sf_dir).features(["name_edit_similarity", "addr_edit_similarity"])
 
 
 def sim_partial(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_partial_ratio"])
+    return Linkage(spark, sf_dir).features(["name_partial_ratio"])
 
 
 def sim_token_sort(spark, sf_dir):
-    return _features(spark, sf_dir, ["name_token_sort_ratio"])
+    return Linkage(spark, sf_dir).features(["name_token_sort_ratio"])
+
+
+def feature_matrix(spark, sf_dir):
+    return Linkage(spark, sf_dir).features(features.feature_names())
 
 
 def sim_tfidf_cosine(spark, sf_dir):
-    rows = txt.preprocess(register(spark, sf_dir))
-    found = features.tfidf_cosine(rows, "business_name_normalized", "business_address_normalized", "entity_id")
+    found = features.tfidf_cosine(Linkage(spark, sf_dir).rows, "business_name_normalized", "business_address_normalized", "entity_id")
     return found.select("entity_id", F.round("cosine", 6).alias("cosine"))
 
 
 def pair_labels(spark, sf_dir):
-    return labels.label_pairs(pairs(spark, sf_dir), truth(spark, sf_dir))
+    own = Linkage(spark, sf_dir)
+    return labels.label_pairs(own.pairs, own.truth)
 
 
 def truth_lists(spark, sf_dir):
-    return truth(spark, sf_dir)
+    return Linkage(spark, sf_dir).truth
 
 
 def candidate_recall(spark, sf_dir):
-    found = evaluate.candidate_recall(pairs(spark, sf_dir), truth(spark, sf_dir))
-    return found.withColumn("candidate_recall", F.round("candidate_recall", 6))
+    own = Linkage(spark, sf_dir)
+    return evaluate.candidate_recall(own.pairs, own.truth).withColumn("candidate_recall", F.round("candidate_recall", 6))
 
 
 def split_members(spark, sf_dir):
-    return labels.split_members(_of(register(spark, sf_dir), "S1"), truth(spark, sf_dir))
+    own = Linkage(spark, sf_dir)
+    return labels.split_members(_of(own.register, "S1"), own.truth)
 
 
-def pair_metrics(spark, sf_dir):
-    found = thresholds.pair_metrics(thresholds.apply_threshold(_scored(spark, sf_dir), 0.5))
-    return _rounded(found)
+def split_tables(spark, sf_dir):
+    """The parts that a split makes of the records and of the truth."""
+    own = Linkage(spark, sf_dir)
+    parts = labels.create_split(_of(own.register, "S1"), own.truth)
+    named = {"s1_train": parts.s1_train, "s1_val": parts.s1_val, "truth_train": parts.truth_train.withColumnRenamed(S1, "entity_id"), "truth_val": parts.truth_val.withColumnRenamed(S1, "entity_id")}
+    return reduce(DataFrame.unionByName, [df.select("entity_id", F.lit(n).alias("part")) for n, df in named.items()])
 
 
 def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if k == "double" else F.col(c).cast("long").alias(c) if k in ("int", "bigint") else F.col(c) for c, k in df.dtypes])
 
 
+def pair_metrics(spark, sf_dir):
+    return _rounded(thresholds.pair_metrics(thresholds.apply_threshold(Linkage(spark, sf_dir).scored(), 0.5)))
+
+
 def threshold_sweep(spark, sf_dir):
-    return _rounded(thresholds.sweep(_scored(spark, sf_dir)))
+    return _rounded(thresholds.sweep(Linkage(spark, sf_dir).scored()))
+
+
+def positive_pairs(spark, sf_dir):
+    """Pairs that reach the threshold that the search finds best, with that threshold."""
+    scored = stored(Linkage(spark, sf_dir).scored(), "scored")
+    best, _ = thresholds.tune(scored)
+    found = thresholds.positive_pairs(thresholds.apply_threshold(scored, best))
+    return found.select(S1, CAND, F.round("probability", 6).alias("probability"), F.lit(round(best, 6)).alias("threshold"))
 
 
 def match_output(spark, sf_dir):
-    return _results(spark, sf_dir)
+    return Linkage(spark, sf_dir).results
 
 
 def validate_output(spark, sf_dir):
-    one, _ = sides(spark, sf_dir)
-    ids = candidates.s1_ids(one)
-    return decide.violations(_results(spark, sf_dir), ids, candidates.with_all_ids(candidates.grouped(pairs(spark, sf_dir)), ids))
+    own = Linkage(spark, sf_dir)
+    return decide.violations(own.results, own.ids, candidates.with_all_ids(candidates.grouped(own.pairs), own.ids))
 
 
 def macro_f05(spark, sf_dir):
-    return _rounded(evaluate.macro_f05(_results(spark, sf_dir), truth(spark, sf_dir)))
+    own = Linkage(spark, sf_dir)
+    return _rounded(evaluate.macro_f05(own.results, own.truth))
 
 
 def eval_report(spark, sf_dir):
-    return _rounded(evaluate.full_report(_results(spark, sf_dir), truth(spark, sf_dir), pairs(spark, sf_dir)))
+    own = Linkage(spark, sf_dir)
+    return _rounded(evaluate.full_report(own.results, own.truth, own.pairs))
 
 
 def scan_checks(spark, sf_dir):
@@ -228,19 +284,70 @@ def scan_checks(spark, sf_dir):
     return tsv.id_report(_of(rows, "S1"), "S1-").join(tsv.missing_counts(rows.select("business_name", "business_address", "country")))
 
 
-def score_lr(spark, sf_dir):
-    one, pool = sides(spark, sf_dir)
-    labelled = labels.label_pairs(extract(pairs(spark, sf_dir), one, pool), truth(spark, sf_dir)).persist()
-    model = models.train(labelled, settings=Settings(model_options={"maxIter": 100}))
+def _files(own: Linkage) -> dict[str, str]:
+    """The register and the truth as TSV files in the shared folder."""
+    at = new_path(own.spark, "register-tsv")
+    parts = {f"s{k}": (_of(own.register, f"S{k}"), SOURCE_COLUMNS) for k in (1, 2, 3)} | {"truth": (own.truth, TRUTH_COLUMNS)}
+    for name, (df, columns) in parts.items():
+        tsv.write_tsv(df, f"{at}/{name}.tsv", columns)
+    return {name: tsv.find_file(own.spark, f"{at}/{name}.tsv", f"{at}/none.tsv") for name in parts}
+
+
+def source_files(spark, sf_dir):
+    """The three sources written as TSV files, loaded and validated."""
+    files = _files(Linkage(spark, sf_dir))
+    return reduce(DataFrame.unionByName, tsv.load_test_data(spark, files["s1"], files["s2"], files["s3"]))
+
+
+def truth_files(spark, sf_dir):
+    """The ground truth written as a TSV file and loaded with the sources, with each S1 record's name."""
+    files = _files(Linkage(spark, sf_dir))
+    one, _, _, truth = tsv.load_train_data(spark, files["s1"], files["s2"], files["s3"], files["truth"])
+    return truth.join(one.select(F.col("entity_id").alias(S1), "business_name"), S1)
+
+
+def result_files(spark, sf_dir):
+    """Results and candidates written as the two result files, and read back."""
+    own = Linkage(spark, sf_dir)
+    at = new_path(spark, "results-tsv")
+    tsv.write_matching_results(own.results, f"{at}/results.tsv")
+    tsv.write_candidate_pairs(candidates.with_all_ids(candidates.grouped(own.pairs), own.ids), f"{at}/candidates.tsv", single=False)
+    found = tsv.read_tsv(spark, f"{at}/results.tsv", [S1, "matched_entity_ids"])
+    return found.join(tsv.read_tsv(spark, f"{at}/candidates.tsv", [S1, "candidate_entity_ids"], multi_line=False), S1)
+
+
+def threshold_file(spark, sf_dir):
+    """A threshold stored as JSON and loaded, and the default where there is none."""
+    at = new_path(spark, "threshold")
+    tsv.save_threshold(spark, 0.725, f"{at}/threshold.json")
+    return spark.createDataFrame([(tsv.load_threshold(spark, f"{at}/threshold.json"), tsv.load_threshold(spark, f"{at}/none.json", 0.5))], "stored double, absent double")
+
+
+def predicted_matches(spark, sf_dir):
+    """Match lists of a whole prediction: a stored model, here one whose probability is the names' similarity, loaded and applied."""
+    own, at = Linkage(spark, sf_dir), new_path(spark, "model")
+    given = SQLTransformer(statement="SELECT *, 1 - name_jaccard AS apart, name_jaccard AS alike FROM __THIS__")
+    models.save_model(PipelineModel([given, VectorAssembler(inputCols=["apart", "alike"], outputCol="probability_vector")]), at)
+    linker = Linker(spark, Settings(), models.load_model(spark, at), 0.5)
+    return linker.predict(*(_of(own.register, f"S{k}") for k in (1, 2, 3))).results
+
+
+def _fitted(own: Linkage, kind: str, **options) -> DataFrame:
+    labelled = stored(labels.label_pairs(extract(own.pairs, *own.sides), own.truth), "labelled")
+    model = models.train(labelled, kind, Settings(model_options=options))
     return models.predict_probability(model, labelled).select(S1, CAND, F.round("probability", 6).alias("probability"))
 
 
+def score_lr(spark, sf_dir):
+    return _fitted(Linkage(spark, sf_dir), "logistic_regression")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         candidates_grouped, normalize_name, normalize_address, normalize_country, tokens, ascii_safe, block_exact_name, block_token_name, block_token_name_2, block_token_address,
-        block_country_aware, block_country_exact, block_tfidf_topk, candidates_capped, strategy_contributions, sim_jaccard, sim_overlap, sim_ngram, len_diffs, missing_flags,
-        sim_edit, sim_partial, sim_token_sort, sim_tfidf_cosine, pair_labels, truth_lists, candidate_recall, split_members, pair_metrics, threshold_sweep, match_output,
-        validate_output, macro_f05, eval_report, scan_checks, score_lr,
+        block_country_aware, block_country_exact, block_tfidf_topk, block_tfidf_kernel, candidates_capped, candidates_by_pool, strategy_contributions, sim_jaccard, sim_overlap, sim_ngram, len_diffs,
+        missing_flags, sim_edit, sim_partial, sim_token_sort, feature_matrix, sim_tfidf_cosine, pair_labels, truth_lists, candidate_recall, split_members, split_tables, pair_metrics,
+        threshold_sweep, positive_pairs, match_output, validate_output, macro_f05, eval_report, scan_checks, source_files, truth_files, result_files, threshold_file, predicted_matches, score_lr,
     ]
     return {f.__name__: f for f in own}
 
@@ -266,11 +373,11 @@ def _normal(column: str, rules: list[tuple[str, str]]) -> str:
 
 _BASE = f"""
 src AS MATERIALIZED (
-  SELECT 'S' || CAST(1 + doc_id % 3 AS VARCHAR) || '-' || lpad(CAST(doc_id AS VARCHAR), 7, '0') AS entity_id,
-    substr(split_part("text", chr(10), 1), 1, 60) AS business_name, substr("text", 61, 60) AS business_address, lang AS country, md5("text") AS text_md5
-  FROM documents
+  SELECT 'S' || CAST(1 + page_id % 3 AS VARCHAR) || '-' || lpad(CAST(page_id AS VARCHAR), 7, '0') AS entity_id,
+    regexp_extract(html, '{TITLE}', 1) AS business_name, url AS business_address, regexp_extract(html, '{LANG}', 1) AS country, TRY_CAST(regexp_extract(url, '{SHOWN}', 1) AS BIGINT) AS shown
+  FROM pages
 ), norm AS MATERIALIZED (
-  SELECT entity_id, text_md5, {_normal("business_name", txt.NAME_RULES)} AS nm, {_normal("business_address", txt.ADDRESS_RULES)} AS ad, lower({_strip("coalesce(country, '')")}) AS ct
+  SELECT entity_id, shown, {_normal("business_name", txt.NAME_RULES)} AS nm, {_normal("business_address", txt.ADDRESS_RULES)} AS ad, lower({_strip("coalesce(country, '')")}) AS ct
   FROM src
 ), toks AS MATERIALIZED (
   SELECT *, [t FOR t IN string_split(nm, ' ') IF length(t) >= 2] AS nt, [t FOR t IN string_split(ad, ' ') IF length(t) >= 2] AS adt FROM norm
@@ -278,9 +385,21 @@ src AS MATERIALIZED (
 n1 AS (SELECT entity_id AS s, ct, unnest(nt) AS token FROM one), n2 AS (SELECT entity_id AS c, ct, unnest(nt) AS token FROM pool),
 a1 AS (SELECT entity_id AS s, unnest(adt) AS token FROM one), a2 AS (SELECT entity_id AS c, unnest(adt) AS token FROM pool),
 exact_pairs AS (SELECT DISTINCT o.entity_id AS s, p.entity_id AS c FROM one o JOIN pool p ON o.nm = p.nm WHERE o.nm <> ''),
+name_pairs AS (SELECT DISTINCT s, c FROM n1 JOIN n2 USING (token) WHERE length(token) >= 3),
 address_pairs AS (SELECT s, c FROM a1 JOIN a2 USING (token) WHERE length(token) >= 3 GROUP BY s, c HAVING count(*) >= 2),
-prs AS MATERIALIZED (SELECT s, c FROM exact_pairs UNION SELECT s, c FROM address_pairs),
-truth_pairs AS (SELECT o.entity_id AS s, p.entity_id AS c FROM one o JOIN pool p USING (text_md5)),
+gram_words AS (SELECT entity_id AS id, ' ' || w || ' ' AS p FROM (SELECT entity_id, unnest(string_split(lower(nm), ' ')) AS w FROM toks) WHERE w <> ''),
+name_grams AS (
+  SELECT id, unnest([substr(p, CAST(i AS BIGINT), 2) FOR i IN generate_series(1, length(p) - 1)]) AS gram FROM gram_words
+  UNION ALL SELECT id, unnest([substr(p, CAST(i AS BIGINT), 3) FOR i IN generate_series(1, length(p) - 2)]) FROM gram_words),
+name_tf AS (SELECT id, gram, count(*) AS tf FROM name_grams GROUP BY 1, 2), name_df AS (SELECT gram, count(*) AS df FROM name_tf GROUP BY 1 HAVING count(*) >= 2),
+name_weights AS MATERIALIZED (SELECT id, gram, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM (
+  SELECT id, name_tf.gram, (1 + ln(tf)) * (ln((1.0 + (SELECT count(*) FROM toks)) / (1.0 + df)) + 1) AS w FROM name_tf JOIN name_df USING (gram))),
+gram_scores AS (SELECT a.id AS s, b.id AS c, round(sum(a.weight * b.weight), 9) AS score FROM name_weights a JOIN name_weights b USING (gram) WHERE a.id LIKE 'S1%' AND b.id NOT LIKE 'S1%' GROUP BY 1, 2),
+gram_pairs AS MATERIALIZED (SELECT s, c, score FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY score DESC, c) AS k FROM gram_scores WHERE score > 0) WHERE k <= 10),
+all_prs AS MATERIALIZED (SELECT s, c, min(k) AS k FROM (
+  SELECT s, c, 1 AS k FROM exact_pairs UNION ALL SELECT s, c, 2 FROM name_pairs UNION ALL SELECT s, c, 3 FROM gram_pairs UNION ALL SELECT s, c, 4 FROM address_pairs) GROUP BY 1, 2),
+prs AS MATERIALIZED (SELECT s, c FROM (SELECT s, c, row_number() OVER (PARTITION BY s ORDER BY c) AS k FROM all_prs) WHERE k <= 500),
+truth_pairs AS (SELECT o.entity_id AS s, p.entity_id AS c FROM one o JOIN pool p USING (shown)),
 truth AS (SELECT o.entity_id AS s, coalesce(string_agg(DISTINCT t.c, ',' ORDER BY t.c), '') AS ids FROM one o LEFT JOIN truth_pairs t ON o.entity_id = t.s GROUP BY 1),
 wide AS (
   SELECT prs.s, prs.c, o.nm AS x, p.nm AS y, o.ad AS ax, p.ad AS ay, o.ct AS cx, p.ct AS cy,
@@ -317,6 +436,30 @@ def _apart(x: str, y: str) -> str:
     return f"round(CAST(abs({x} - {y}) AS DOUBLE) / (greatest({x}, {y}) + 1), 6)"
 
 
+def _masks(a: str, b: str) -> str:
+    """For every character of b where it stands in a, as bits (of strings of at most 120 characters)."""
+    return f"[coalesce(list_sum([CAST(1 AS HUGEINT) << CAST(i AS INTEGER) FOR i IN range(length({a})) IF {a}[CAST(i + 1 AS BIGINT)] = q]), 0)::HUGEINT FOR q IN string_split({b}, '')]"
+
+
+def _lcs(n: str, masks: str) -> str:
+    """Longest common subsequence from the masks of the other string in a string of n characters: one carry-propagating step a character."""
+    full = f"((CAST(1 AS HUGEINT) << CAST({n} AS INTEGER)) - 1)"
+    return f"({n} - bit_count(list_reduce({masks}, lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full}, {full})))"
+
+
+def _edit(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' AND {b} = '' THEN 1.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE CAST(2.0 * {_lcs(f'length({a})', _masks(a, b))} AS DOUBLE) / (length({a}) + length({b})) END"
+
+
+def _partial(a: str, b: str) -> str:
+    """Best edit ratio of a and the windows of b, which is not shorter, of a's length or cut at an end."""
+    m, n = f"length({a})", f"length({b})"
+    of = lambda begin, end: _lcs(m, f"({_masks(a, b)})[{begin}:{end}]")
+    ratio = lambda i, k: f"list_max([CAST(2.0 * {of(i[0], i[1])} AS DOUBLE) / ({m} + {i[2]}) FOR i IN {k}])"
+    heads, whole, tails = ratio(("1", "i", "i"), f"range(1, {m})"), ratio(("i", f"i + {m} - 1", m), f"range(1, {n} - {m} + 2)"), ratio((f"{n} - i + 1", n, "i"), f"range(1, {m})")
+    return f"greatest(coalesce({heads}, 0), coalesce({whole}, 0), coalesce({tails}, 0))"
+
+
 def _flag(c: str) -> str:
     return f"CAST(CASE WHEN {c} THEN 1.0 ELSE 0.0 END AS DOUBLE)"
 
@@ -346,15 +489,20 @@ _WEIGHTS = """SELECT {key}, gram, w / sqrt(sum(w * w) OVER (PARTITION BY {key}))
 
 def oracle_sql() -> dict[str, str]:
     with_base = lambda select, more="": f"WITH {_BASE}{more} {select}"
-    feature = lambda **c: with_base(f"SELECT {_IDS}, " + ", ".join(f"{e} AS {n}" for n, e in c.items()) + " FROM wide")
-    capped = f"SELECT {_IDS}, substr(c, 1, 2) AS candidate_source FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY c) AS k FROM prs)"
-    tfidf = """, words AS (SELECT entity_id AS id, ' ' || w || ' ' AS p FROM (SELECT entity_id, unnest(string_split(lower(nm), ' ')) AS w FROM toks) WHERE w <> ''),
-      grams AS (
-        SELECT id, unnest([substr(p, CAST(i AS BIGINT), 2) FOR i IN generate_series(1, length(p) - 1)]) AS gram FROM words
-        UNION ALL SELECT id, unnest([substr(p, CAST(i AS BIGINT), 3) FOR i IN generate_series(1, length(p) - 2)]) FROM words),
-      tf AS (SELECT id, gram, count(*) AS tf FROM grams GROUP BY 1, 2), dfs AS (SELECT gram, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2), total AS (SELECT count(*) AS n FROM toks),
-      weights AS MATERIALIZED (""" + _WEIGHTS.format(key="id") + """),
-      scores AS (SELECT a.id AS s, b.id AS c, round(sum(a.weight * b.weight), 9) AS score FROM weights a JOIN weights b USING (gram) WHERE a.id LIKE 'S1%' AND b.id NOT LIKE 'S1%' GROUP BY 1, 2)"""
+    capped = f"SELECT {_IDS}, substr(c, 1, 2) AS candidate_source FROM (SELECT s, c, row_number() OVER (PARTITION BY s ORDER BY c) AS k FROM all_prs)"
+    topk = f"SELECT {_IDS}, round(score, 6) AS score FROM gram_pairs"
+    partial = f"""SELECT x, y, round(CASE WHEN x = '' OR y = '' THEN CASE WHEN x = y THEN 1.0 ELSE 0.0 END WHEN contains(x, y) OR contains(y, x) THEN 1.0 WHEN length(x) < length(y) THEN {_partial("x", "y")}
+      WHEN length(y) < length(x) THEN {_partial("y", "x")} ELSE greatest({_partial("x", "y")}, {_partial("y", "x")}) END, 6) AS name_partial_ratio FROM (SELECT DISTINCT x, y FROM wide)"""
+    made = {
+        "name_exact_match": _flag("x = y AND x <> ''"), "name_jaccard": _jaccard("x", "y", "xt", "yt"), "name_token_overlap_s1": _overlap("x", "y", "xt", "yt"), "name_token_overlap_cand": _overlap("y", "x", "yt", "xt"),
+        "name_edit_similarity": f"round({_edit('x', 'y')}, 6)", "name_partial_ratio": "name_partial_ratio",
+        "name_token_sort_ratio": f"(SELECT round({_edit('p', 'q')}, 6) FROM (SELECT array_to_string(list_sort(xt), ' ') AS p, array_to_string(list_sort(yt), ' ') AS q))",
+        "name_trigram_overlap": _grams("x", "y", 3), "name_bigram_overlap": _grams("x", "y", 2), "name_len_diff": _apart("length(x)", "length(y)"), "name_token_count_diff": _apart("len(xt)", "len(yt)"),
+        "addr_jaccard": _jaccard("ax", "ay", "axt", "ayt"), "addr_token_overlap_s1": _overlap("ax", "ay", "axt", "ayt"), "addr_token_overlap_cand": _overlap("ay", "ax", "ayt", "axt"), "addr_edit_similarity": f"round({_edit('ax', 'ay')}, 6)",
+        "addr_trigram_overlap": _grams("ax", "ay", 3), "addr_len_diff": _apart("length(ax)", "length(ay)"), "country_exact_match": _flag("cx = cy AND cx <> ''"),
+        "s1_name_missing": _flag("x = ''"), "cand_name_missing": _flag("y = ''"), "s1_addr_missing": _flag("ax = ''"), "cand_addr_missing": _flag("ay = ''"), "s1_country_missing": _flag("cx = ''"), "cand_country_missing": _flag("cy = ''"), "is_s2": _flag("c LIKE 'S2-%'"),
+    }
+    several = lambda names: with_base(f"SELECT {_IDS}, " + ", ".join(f"{made[n]} AS {n}" for n in names) + " FROM wide" + (f" JOIN ({partial}) USING (x, y)" if "name_partial_ratio" in names else ""))
     cosine = """, words AS (
         SELECT 'a' || entity_id AS k, regexp_extract_all(lower(nm), '[\\pL\\pN_]{2,}') AS ws FROM toks UNION ALL SELECT 'b' || entity_id, regexp_extract_all(lower(ad), '[\\pL\\pN_]{2,}') FROM toks),
       grams AS (SELECT k, unnest(ws) AS gram FROM words UNION ALL SELECT k, unnest([ws[CAST(i AS BIGINT)] || ' ' || ws[CAST(i AS BIGINT) + 1] FOR i IN generate_series(1, len(ws) - 1)]) FROM words),
@@ -374,31 +522,48 @@ def oracle_sql() -> dict[str, str]:
         "normalize_name": with_base("SELECT entity_id, nm AS name FROM norm"),
         "normalize_address": with_base("SELECT entity_id, ad AS address FROM norm"),
         "normalize_country": with_base("SELECT entity_id, ct AS country FROM norm"),
-        "tokens": with_base("SELECT entity_id, array_to_string(nt, ' ') AS name_tokens, array_to_string(adt, ' ') AS address_tokens, array_to_string(list_sort(list_distinct([t FOR t IN nt IF length(t) >= 3])), ' ') AS name_token_set FROM toks"),
+        "tokens": with_base("""SELECT entity_id, array_to_string(nt, ' ') AS name_tokens, array_to_string(adt, ' ') AS address_tokens, array_to_string(list_sort(list_distinct([t FOR t IN nt IF length(t) >= 3])), ' ') AS name_token_set,
+            array_to_string(list_sort(list_distinct([t FOR t IN adt IF length(t) >= 3])), ' ') AS address_token_set FROM toks"""),
+        "ascii_safe": with_base(r"SELECT entity_id, regexp_replace(strip_accents(coalesce(business_name, '')), '[^\x00-\x7F]', '', 'g') AS name FROM src"),
         "block_exact_name": with_base(f"SELECT {_IDS} FROM exact_pairs"),
         "block_token_name": with_base(f"SELECT DISTINCT {_IDS} FROM n1 JOIN n2 USING (token) WHERE length(token) >= 3"),
         "block_token_name_2": with_base(f"SELECT {_IDS} FROM n1 JOIN n2 USING (token) WHERE length(token) >= 3 GROUP BY s, c HAVING count(*) >= 2"),
         "block_token_address": with_base(f"SELECT {_IDS} FROM address_pairs"),
         "block_country_aware": with_base(f"SELECT DISTINCT {_IDS} FROM n1 JOIN n2 USING (token) WHERE length(token) >= 3 AND (n1.ct = n2.ct OR n1.ct = '')"),
         "block_country_exact": with_base("SELECT DISTINCT o.entity_id AS source1_entity_id, p.entity_id AS candidate_entity_id FROM one o JOIN pool p ON o.nm = p.nm WHERE o.nm <> '' AND (o.ct = p.ct OR o.ct = '')"),
-        "block_tfidf_topk": with_base(f"SELECT {_IDS}, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY score DESC, c) AS k FROM scores WHERE score > 0) WHERE k <= 10", tfidf),
+        "block_tfidf_topk": with_base(topk),
+        "block_tfidf_kernel": with_base(topk),
         "candidates_capped": with_base(capped + " WHERE k <= 5"),
         "candidates_grouped": with_base(f"SELECT o.entity_id AS source1_entity_id, coalesce(string_agg(q.candidate_entity_id, ',' ORDER BY q.candidate_entity_id), '') AS candidate_entity_ids FROM one o LEFT JOIN ({capped} WHERE k <= 500) q ON q.source1_entity_id = o.entity_id GROUP BY 1"),
-        "strategy_contributions": with_base("SELECT strategy, count(*) AS new_pairs FROM (SELECT s, c, min(k) AS k FROM (SELECT s, c, 1 AS k FROM exact_pairs UNION ALL SELECT s, c, 2 FROM address_pairs) GROUP BY 1, 2) JOIN (VALUES (1, 'exact_name'), (2, 'token_address')) v(k, strategy) USING (k) GROUP BY 1"),
-        "sim_jaccard": feature(name_jaccard=_jaccard("x", "y", "xt", "yt"), addr_jaccard=_jaccard("ax", "ay", "axt", "ayt"), name_exact_match=_flag("x = y AND x <> ''")),
-        "sim_overlap": feature(name_token_overlap_s1=_overlap("x", "y", "xt", "yt"), name_token_overlap_cand=_overlap("y", "x", "yt", "xt"), addr_token_overlap_s1=_overlap("ax", "ay", "axt", "ayt"), addr_token_overlap_cand=_overlap("ay", "ax", "ayt", "axt")),
-        "sim_ngram": feature(name_trigram_overlap=_grams("x", "y", 3), name_bigram_overlap=_grams("x", "y", 2), addr_trigram_overlap=_grams("ax", "ay", 3)),
-        "len_diffs": feature(name_len_diff=_apart("length(x)", "length(y)"), name_token_count_diff=_apart("len(xt)", "len(yt)"), addr_len_diff=_apart("length(ax)", "length(ay)")),
-        "missing_flags": feature(country_exact_match=_flag("cx = cy AND cx <> ''"), s1_name_missing=_flag("x = ''"), cand_name_missing=_flag("y = ''"), s1_addr_missing=_flag("ax = ''"), cand_addr_missing=_flag("ay = ''"), s1_country_missing=_flag("cx = ''"), cand_country_missing=_flag("cy = ''"), is_s2=_flag("c LIKE 'S2-%'")),
+        "strategy_contributions": with_base("SELECT strategy, count(*) AS new_pairs FROM all_prs JOIN (VALUES (1, 'exact_name'), (2, 'token_name'), (3, 'tfidf_name'), (4, 'token_address')) v(k, strategy) USING (k) GROUP BY 1"),
+        "candidates_by_pool": with_base("SELECT p.entity_id AS candidate_entity_id, coalesce(string_agg(q.s, ',' ORDER BY q.s), '') AS source1_entity_ids FROM pool p LEFT JOIN prs q ON q.c = p.entity_id GROUP BY 1"),
+        "sim_jaccard": several(["name_jaccard", "addr_jaccard", "name_exact_match"]),
+        "sim_overlap": several(["name_token_overlap_s1", "name_token_overlap_cand", "addr_token_overlap_s1", "addr_token_overlap_cand"]),
+        "sim_ngram": several(["name_trigram_overlap", "name_bigram_overlap", "addr_trigram_overlap"]),
+        "len_diffs": several(["name_len_diff", "name_token_count_diff", "addr_len_diff"]),
+        "missing_flags": several(["country_exact_match", *features.FEATURES[18:]]),
+        "sim_edit": several(["name_edit_similarity", "addr_edit_similarity"]),
+        "sim_partial": several(["name_partial_ratio"]),
+        "sim_token_sort": several(["name_token_sort_ratio"]),
+        "feature_matrix": several(features.FEATURES),
         "sim_tfidf_cosine": with_base("SELECT entity_id, round(coalesce(dot, 0), 6) AS cosine FROM toks LEFT JOIN dots USING (entity_id)", cosine),
         "pair_labels": with_base(f"SELECT DISTINCT prs.s AS source1_entity_id, prs.c AS candidate_entity_id, CASE WHEN t.s IS NULL THEN 0 ELSE 1 END AS label FROM prs LEFT JOIN truth_pairs t ON t.s = prs.s AND t.c = prs.c"),
         "truth_lists": with_base("SELECT s AS source1_entity_id, ids AS matched_entity_ids FROM truth"),
         "candidate_recall": with_base(f"SELECT n_true, n_covered, round(CASE WHEN n_true > 0 THEN CAST(n_covered AS DOUBLE) / n_true ELSE 0 END, 6) AS candidate_recall FROM {recall}"),
         "split_members": with_base("""SELECT entity_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY h, entity_id) <= greatest(1, CAST(floor(count(*) OVER (PARTITION BY stratum) * CAST(0.15 AS DOUBLE)) AS BIGINT)) AS in_val
             FROM (SELECT s AS entity_id, CASE WHEN ids = '' THEN 'singleton' ELSE 'matched' END AS stratum, md5('42' || s) AS h FROM truth)"""),
+        "split_tables": with_base("""SELECT s AS entity_id, unnest(['s1_' || side, 'truth_' || side]) AS part FROM (
+            SELECT s, CASE WHEN row_number() OVER (PARTITION BY ids = '' ORDER BY md5('42' || s), s) <= greatest(1, CAST(floor(count(*) OVER (PARTITION BY ids = '') * CAST(0.15 AS DOUBLE)) AS BIGINT)) THEN 'val' ELSE 'train' END AS side FROM truth)"""),
+        "source_files": with_base("SELECT entity_id, nullif(business_name, '') AS business_name, nullif(business_address, '') AS business_address, nullif(country, '') AS country FROM src"),
+        "truth_files": with_base("SELECT s AS source1_entity_id, nullif(ids, '') AS matched_entity_ids, nullif(business_name, '') AS business_name FROM truth JOIN src ON entity_id = s"),
+        "result_files": with_base("SELECT r.s AS source1_entity_id, nullif(r.ids, '') AS matched_entity_ids, (SELECT string_agg(c, ',' ORDER BY c) FROM prs WHERE prs.s = r.s) AS candidate_entity_ids FROM results r", _SCORED),
+        "threshold_file": "SELECT CAST(0.725 AS DOUBLE) AS stored, CAST(0.5 AS DOUBLE) AS absent",
+        "positive_pairs": with_base(f"""SELECT {_IDS}, round(probability, 6) AS probability, round(best, 6) AS threshold FROM graded, (
+            SELECT threshold AS best FROM (SELECT threshold, {_RATES}) ORDER BY f0_5 DESC, threshold LIMIT 1) WHERE probability >= best""", _SCORED + sweep),
         "pair_metrics": with_base(f"SELECT {_RATES}", _SCORED + at_half),
         "threshold_sweep": with_base(f"SELECT round(threshold, 6) AS threshold, {_RATES}", _SCORED + sweep),
         "match_output": with_base("SELECT s AS source1_entity_id, ids AS matched_entity_ids FROM results", _SCORED),
+        "predicted_matches": with_base("SELECT s AS source1_entity_id, ids AS matched_entity_ids FROM results", _SCORED),
         "validate_output": with_base("""SELECT (SELECT count(*) FROM (SELECT s FROM results GROUP BY s HAVING count(*) > 1)) AS duplicate_rows, (SELECT count(*) FROM one WHERE entity_id NOT IN (SELECT s FROM results)) AS missing_rows,
             count(*) FILTER (WHERE len([i FOR i IN pred IF i LIKE 'S1-%']) > 0) AS s1_in_list, count(*) FILTER (WHERE len(pred) <> len(list_distinct(pred))) AS duplicate_in_list,
             (SELECT count(DISTINCT r.s) FROM (SELECT s, unnest(pred) AS c FROM results) r LEFT JOIN prs ON prs.s = r.s AND prs.c = r.c WHERE prs.s IS NULL) AS not_candidates FROM results""", _SCORED),

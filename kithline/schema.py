@@ -40,4 +40,6 @@ class Settings:
     threshold_steps: int = 85
     metric: str = "f0_5"
     enforce_candidates: bool = True
+    #: Whether quoted cells of the sources may hold line breaks; without, all tasks read a large file.
+    multi_line: bool = True
     model_options: dict = field(default_factory=dict)

@@ -95,12 +95,12 @@ def load_ground_truth(spark: SparkSession, path: str, multi_line: bool = True) -
     return df
 
 
-def load_test_data(spark: SparkSession, s1: str, s2: str, s3: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return load_source(spark, s1, "S1"), load_source(spark, s2, "S2"), load_source(spark, s3, "S3")
+def load_test_data(spark: SparkSession, s1: str, s2: str, s3: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return load_source(spark, s1, "S1", multi_line), load_source(spark, s2, "S2", multi_line), load_source(spark, s3, "S3", multi_line)
 
 
-def load_train_data(spark: SparkSession, s1: str, s2: str, s3: str, truth: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    return *load_test_data(spark, s1, s2, s3), load_ground_truth(spark, truth)
+def load_train_data(spark: SparkSession, s1: str, s2: str, s3: str, truth: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    return *load_test_data(spark, s1, s2, s3, multi_line), load_ground_truth(spark, truth, multi_line)
 
 
 def write_tsv(df: DataFrame, path: str, columns: list[str], single: bool = True) -> None:
@@ -113,7 +113,7 @@ def write_tsv(df: DataFrame, path: str, columns: list[str], single: bool = True)
     if lacking:
         raise ValueError(f"columns missing: {lacking}")
     spark, rows = df.sparkSession, df.select(*columns).fillna("")
-    options = {"sep": "\t", "header": True, "emptyValue": "", "quote": '"', "escape": '"'}
+    options = {"sep": "\t", "header": True, "emptyValue": "", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     if not single:
         rows.write.mode("overwrite").options(**options).csv(path)
         return

@@ -27,6 +27,7 @@ def link_stream(linker: Linker, s1: DataFrame, arriving: DataFrame, out: str, ch
         parts = [pool.filter(F.col("entity_id").startswith(PREFIXES[k])) for k in ("S2", "S3")]
         pairs = cand.generate(master, *parts, linker.settings.strategies, linker.settings)
         positive_pairs(linker.score(pairs, master, pool)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        linker.release()
         pool.unpersist()
 
     return arriving.writeStream.foreachBatch(link).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
