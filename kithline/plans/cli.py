@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from ..operators import evaluate
 from ..operators.blocking import STRATEGIES
 from ..operators.models import MODELS
+from ..packaging import ship
 from ..schema import Settings
 from . import linker
 
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     chosen = {"model_type": args.model, "strategies": tuple(args.blocking) if args.blocking else None, "threshold": args.threshold, "multi_line": False if args.single_line else None}
     settings = Settings(**{k: v for k, v in chosen.items() if v is not None})
     spark = spark or SparkSession.builder.appName("kithline").getOrCreate()
+    ship(spark)
     train, test = _paths(args.train, args.out), _paths(args.test, args.out)
     try:
         if args.mode == "train":

@@ -1,5 +1,7 @@
 """Blocking, candidates, features, labels, thresholds, output and evaluation on small registers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,13 +26,13 @@ def ids(spark, *values):
 
 @pytest.fixture(scope="module")
 def small(spark):
-    s1 = register(spark, ("S1-001", "ABC Corp", "123 Main St", "US"), ("S1-002", "XYZ Ltd", "456 Elm St", "US"))
-    s2 = register(spark, ("S2-001", "ABC Corporation", "123 Main Street", "US"))
-    s3 = register(spark, ("S3-001", "XYZ Limited", "456 Elm Street", "US"))
+    s1 = register(spark, ("S1-31", "Larkfield Corp", "888 Quarry Lane", "NO"), ("S1-32", "Tideway Ltd", "905 Harbour Road", "NO"))
+    s2 = register(spark, ("S2-71", "LARKFIELD corporation", "888, Quarry Ln.", "NO"))
+    s3 = register(spark, ("S3-81", "tideway limited", "905 Harbour Rd", "NO"))
     return s1, s2, s3
 
 
-BOTH = {("S1-001", "S2-001"), ("S1-002", "S3-001")}
+BOTH = {("S1-31", "S2-71"), ("S1-32", "S3-81")}
 
 
 def test_exact_token_and_address_blocking(small):
@@ -42,24 +44,59 @@ def test_exact_token_and_address_blocking(small):
 
 
 def test_tokens_count_with_multiplicity(spark):
-    s1 = register(spark, ("S1-1", "", "Mumbai Mumbai", ""))
-    pool = register(spark, ("S2-1", "", "Mumbai", ""), ("S2-2", "", "Delhi", ""))
+    s1 = register(spark, ("S1-1", "", "Porto Porto", ""))
+    pool = register(spark, ("S2-1", "", "Porto", ""), ("S2-2", "", "Braga", ""))
     assert found(blocking.token_address(s1, pool, 2)) == {("S1-1", "S2-1")}
 
 
 def test_short_address_tokens_do_not_block(spark):
-    s1 = register(spark, ("S1-001", "ABC Technologies", "12 MG Road", "India"))
-    pool = register(spark, ("S2-001", "ABC Tech", "12 MG Rd", "India"), ("S3-001", "Completely Different Business", "99 Other Street", "US"))
-    assert found(blocking.exact_name(s1, pool)) == {("S1-001", "S2-001")}
+    s1 = register(spark, ("S1-5", "Quill Services Technology", "7 Ox Dr", "Chile"))
+    pool = register(spark, ("S2-6", "quill services tech", "7 Ox Drive", "Chile"), ("S3-7", "Nothing Alike", "7 Yew Lane", "Peru"))
+    assert found(blocking.exact_name(s1, pool)) == {("S1-5", "S2-6")}
     assert found(blocking.token_address(s1, pool)) == set()
 
 
 def test_country_aware(spark):
-    s1 = register(spark, ("S1-001", "Boulangerie Martin", "5 Rue", "France"), ("S1-002", "Unknown Co", "Some", ""), ("S1-003", "Business Other", "x", ""))
-    pool = register(spark, ("S2-001", "Boulangerie Martin", "", "France"), ("S2-002", "Some Other Business", "Other", "US"), ("S2-003", "Boulangerie Martin", "", ""), ("S2-004", "Boulangerie Martin", "", "US"))
-    assert found(blocking.country_aware(s1, pool)) == {("S1-001", "S2-001"), ("S1-003", "S2-002")}
-    assert found(blocking.country_aware(s1, pool, min_shared=2)) == {("S1-001", "S2-001"), ("S1-003", "S2-002")}
-    assert found(blocking.country_aware(s1, pool, "exact_name")) == {("S1-001", "S2-001")}
+    s1 = register(spark, ("S1-1", "Velmora Glass", "1", "Norge"), ("S1-2", "Unmet Zz", "2", ""), ("S1-3", "Ferry Works", "3", ""))
+    pool = register(spark, ("S2-1", "Velmora Glass", "", "norge "), ("S2-2", "Works of the Ferry", "", "Chile"), ("S2-3", "Velmora Glass", "", ""), ("S2-4", "Velmora Glass", "", "Chile"))
+    assert found(blocking.country_aware(s1, pool)) == {("S1-1", "S2-1"), ("S1-3", "S2-2")}
+    assert found(blocking.country_aware(s1, pool, min_shared=2)) == {("S1-1", "S2-1"), ("S1-3", "S2-2")}
+    assert found(blocking.country_aware(s1, pool, "exact_name")) == {("S1-1", "S2-1")}
+
+
+def plain_shared(s1, pool, least):
+    """Pairs by counting each token of both lists."""
+    rows = lambda df: {r.entity_id: [t for t in r.name_tokens if len(t) >= 3] for r in df.collect()}
+    one, two = rows(s1), rows(pool)
+    return {(i, j) for i, x in one.items() for j, y in two.items() if sum(x.count(t) * y.count(t) for t in set(x)) >= least}
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_shared_tokens_of_frequent_and_repeated_words(spark, salted, monkeypatch):
+    if salted:
+        monkeypatch.setattr(blocking, "SALT_PAIRS", 50)
+    rng = random.Random(12)
+    words = ["every", "often", "often", *(f"word{k}" for k in range(12))]
+    name = lambda: " ".join([*["every"] * rng.choice([1, 1, 1, 2]), *rng.choices(words, k=rng.randint(0, 3))])
+    s1 = register(spark, *((f"S1-{k}", name(), "", "x") for k in range(40)))
+    pool = register(spark, *((f"S2-{k}", name(), "", "x" if k % 2 else "y") for k in range(60)))
+    for least in (1, 2, 3):
+        assert found(blocking.token_name(s1, pool, least)) == plain_shared(s1, pool, least)
+    assert found(blocking.country_aware(s1, pool)) == plain_shared(s1, pool.filter("country = 'x'"), 1)
+
+
+def test_both_paths_of_top_k_agree(spark, monkeypatch):
+    rng = random.Random(13)
+    name = lambda: " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 3)))
+    s1 = register(spark, *((f"S1-{k}", name(), "", "") for k in range(50)))
+    pool = register(spark, *((f"S{2 + k % 2}-{k}", name(), "", "") for k in range(120)))
+    rows = lambda **o: {tuple(r) for r in blocking.tfidf_scores(s1, pool, 4, **o).collect()}
+    want = rows(kernel=False)
+    for size in ("BLOCK_S1", "BLOCK_POOL", "SLICE"):
+        monkeypatch.setattr(blocking, size, 16)
+    assert rows(kernel=True) == want and len(want) > 100
+    monkeypatch.setattr(blocking, "JOIN_ROWS", 10)
+    assert rows() == want
 
 
 def test_tfidf_top_k(spark):
@@ -93,17 +130,18 @@ def test_candidates_are_tagged_capped_and_grouped(spark, small):
 
 
 def test_features(spark):
-    s1 = register(spark, ("S1-001", "ABC Corp", "123 Main St", "US"))
-    pool = register(spark, ("S2-001", "ABC Corporation", "123 Main Street", "US"), ("S3-001", "XYZ Ltd", "456 Elm Ave", "India"))
-    pairs = spark.createDataFrame([("S1-001", "S2-001"), ("S1-001", "S3-001"), ("S1-001", "S3-404")], f"{S1} string, {CAND} string")
+    s1 = register(spark, ("S1-9", "Oakum Ltd", "14 Mill Road", "Fiji"))
+    pool = register(spark, ("S2-4", "OAKUM limited", "14 Mill Rd.", "fiji"), ("S3-8", "Brine Inc", "20 Kiln Lane", "Mali"))
+    pairs = spark.createDataFrame([("S1-9", "S2-4"), ("S1-9", "S3-8"), ("S1-9", "S3-404")], f"{S1} string, {CAND} string")
     rows = {r[CAND]: r.asDict() for r in features.extract(pairs, s1, pool).collect()}
     assert len(features.feature_names()) == 25
     assert all(0.0 <= rows[c][n] <= 1.0 for c in rows for n in features.FEATURES)
-    same, other = rows["S2-001"], rows["S3-001"]
+    same, other = rows["S2-4"], rows["S3-8"]
     assert all(same[n] == 1.0 for n in features.FEATURES if "overlap" in n or "jaccard" in n or "ratio" in n or "similarity" in n or "exact" in n)
     assert all(same[n] == 0.0 for n in features.FEATURES if "diff" in n or "missing" in n) and same["is_s2"] == 1.0
-    assert other["name_edit_similarity"] == pytest.approx(2 / 15) and other["name_len_diff"] == pytest.approx(1 / 9)
-    assert other["addr_edit_similarity"] == pytest.approx(6 / 22) and other["addr_len_diff"] == 0.0 and other["is_s2"] == 0.0
+    # "oakum ltd" and "brine inc" share the space only; "14 mill rd" and "20 kiln ln": a space, i, l, a space
+    assert other["name_edit_similarity"] == pytest.approx(2 / 18) and other["name_len_diff"] == 0.0
+    assert other["addr_edit_similarity"] == pytest.approx(8 / 20) and other["addr_len_diff"] == 0.0 and other["is_s2"] == 0.0
     assert rows["S3-404"]["cand_name_missing"] == 1.0
 
 
