@@ -3,64 +3,24 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where a session on one machine (tests) names no shared folder.
-LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
+from ..tables import forget as forget
+from ..tables import new_path as new_path
+from ..tables import shared_dir as shared_dir
+from ..tables import stored as stored
+from ..tables import stored_bytes as stored_bytes
+
 #: Text bytes that one vectorised step handles at most; a longer single text is one step.
 STEP_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a cluster has to name one."""
-    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not named and (not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster")):
-        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-    return (named or LOCAL_CHECKPOINTS).rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/kithline/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a table written by :func:`stored` through Hadoop's file system."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def forget(*tables: DataFrame) -> None:
-    """Delete stored tables that nothing will read again."""
-    for df in tables:
-        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-        for folder in folders:
-            delete(df.sparkSession, folder)
-
-
-def stored_bytes(table: DataFrame) -> int:
-    """Bytes of the files of a table that :func:`stored` wrote."""
-    spark, total = table.sparkSession, 0
-    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        total += p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    return total
-
-
 def count_partitions(spark: SparkSession, wanted: int = 1) -> int:
     """Shuffle partitions: the session's number, or ``wanted`` where the data need more."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
