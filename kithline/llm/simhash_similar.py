@@ -12,7 +12,7 @@ are ``BANDS`` bands of ``ROWS`` minima over hash functions instead; a pair of
 similarity s shares one with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9996 at 0.8.
 Every pair that shares a band is pruned by pigeonring chains of the fingerprints'
 five segments, then by the distance of the wide ones, which texts that share a band
-have, then by its sets; it is met in the first band only that it shares.
+have, then by its sets.
 
 A bucket's pairs are never all made.  In each round some nodes of a bucket, first
 one, then eight times as many, are compared with the bucket's nodes that are not
@@ -163,46 +163,56 @@ def wide_apart(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, d: n + d)
 
 
-def _candidates(members: DataFrame, wanted: int) -> tuple[DataFrame, DataFrame]:
-    """(key, node) of the nodes that a round compares, and the pairs a > b to verify."""
+def _candidates(members: DataFrame, sketches: DataFrame, wanted: int) -> tuple[DataFrame, DataFrame]:
+    """(key, node) of the nodes that a round compares, and the pairs a > b to verify.
+
+    The first round's pairs are fewer than the members; later ones are pruned by
+    the wide fingerprints, and met in the first band only that both have.
+    """
     of_component = members.groupBy("key", "comp").agg(F.count_if(~F.col("used")).alias("open"), (-F.max("met")).alias("little"))
     largest = stored(of_component.groupBy("key").agg(F.max(F.struct("open", "little", "comp"))["comp"].alias("largest")), "largest")
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "node"))
     others = members.join(largest, "key").filter(~F.col("used") & (F.col("comp") != F.col("largest")))
-    chosen = others.withColumn("rank", rank).filter(F.col("rank") <= wanted)
-    chosen = stored(chosen.select("key", F.col("node").alias("n2"), F.col("size").alias("s2"), F.col("fp").alias("f2"), F.col("wide").alias("w2"), F.col("bands").alias("b2"), F.col("comp").alias("c2")), "chosen")
+    chosen = stored(others.withColumn("rank", rank).filter(F.col("rank") <= wanted).select("key", "node", "size", "fp", "comp"), "chosen")
     sizes = LEAST[1] * F.least("size", "s2") >= LEAST[0] * F.greatest("size", "s2")
-    near = within(F.col("fp"), F.col("f2")) & (wide_apart(F.col("wide"), F.col("w2")) <= WIDE_RADIUS)
-    first_band = F.get(F.array_intersect("bands", "b2"), F.lit(0)) == F.col("key")
-    close = members.join(chosen, "key").filter((F.col("comp") != F.col("c2")) & sizes & ((F.least("size", "s2") < FEW) | near) & first_band)
-    pairs = close.select(F.greatest("node", "n2").alias("a"), F.least("node", "n2").alias("b")).distinct()
+    near, rows = within(F.col("fp"), F.col("f2")), members.select("key", "node", "size", "fp", "comp")
+    if wanted > FIRST:
+        rows, met = rows.join(sketches, "node"), chosen.join(sketches, "node")
+        near = near & (wide_apart(F.col("wide"), F.col("w2")) <= WIDE_RADIUS)
+        first_band = F.get(F.array_intersect("bands", "b2"), F.lit(0)) == F.col("key")
+    else:
+        met, first_band = chosen, F.lit(True)
+    met = met.withColumnsRenamed({"node": "n2", "size": "s2", "fp": "f2", "comp": "c2", "wide": "w2", "bands": "b2"})
+    close = rows.join(met, "key").filter((F.col("comp") != F.col("c2")) & sizes & ((F.least("size", "s2") < FEW) | near) & first_band)
+    pairs = stored(close.select(F.greatest("node", "n2").alias("a"), F.least("node", "n2").alias("b")).distinct(), "pairs")
     forget(largest)
-    return chosen.select("key", F.col("n2").alias("node")), pairs
+    return chosen.select("key", "node"), pairs
 
 
-def links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root) of the nodes that are linked with another, of bucket ``members`` (key, node, size, fp, wide, bands, met: how many it meets in all buckets) and their sets."""
+def links(members: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root) of the nodes that are linked with another, of bucket ``members`` (key, node, size, fp, met: how many it
+    meets in all buckets), and by node their sketches (wide, bands) and sets."""
     now = stored(members.select("*", F.col("node").alias("comp"), F.lit(False).alias("used")), "members")
     found = verified = roots = None
     wanted = FIRST
     while not now.isEmpty():
-        compared, pairs = _candidates(now, wanted)
+        compared, pairs = _candidates(now, sketches, wanted)
         if verified is not None:
             pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
         x = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
         y = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-        judged = stored(stored(pairs, "pairs").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_alike, "a long, b long, alike boolean"), "verified")
+        judged = stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_alike, "a long, b long, alike boolean"), "verified")
         verified = judged if verified is None else verified.unionByName(judged)
         more = judged.filter("alike").select("a", "b")
         found = more if found is None else found.unionByName(more)
         roots = connected(found)
         named = now.join(roots, "node", "left").join(compared.withColumn("done", F.lit(True)), ["key", "node"], "left")
-        named = named.select("key", "node", "size", "fp", "wide", "bands", "met", F.coalesce("root", "node").alias("comp"), (F.col("used") | F.coalesce("done", F.lit(False))).alias("used"))
+        named = named.select("key", "node", "size", "fp", "met", F.coalesce("root", "node").alias("comp"), (F.col("used") | F.coalesce("done", F.lit(False))).alias("used"))
         after = stored(named, "members")
         # A bucket is open while a node that was not compared is not in its largest component of such nodes.
         open_keys = after.filter(~F.col("used")).groupBy("key").agg((F.min("comp") != F.max("comp")).alias("several"))
         left = stored(after.join(stored(open_keys.filter("several").select("key"), "open"), "key", "left_semi"), "members")
-        forget(now, after)
+        forget(now, after, compared)
         now, wanted = left, wanted * MORE
     return connected(now.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)) if roots is None else roots
 
@@ -211,19 +221,19 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """doc_id, text_md5 and component, one number for all that are linked, of every row."""
     table = stored(sketch_table(docs, doc_id, text), "sketches")
     nodes = stored(table.groupBy("node").agg(F.first("bands").alias("bands"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.min(F.struct("doc_id", "text_md5")).alias("row")), "nodes")
-    keys = nodes.filter("node <> 0").select("node", "size", "fp", "bands", F.explode("bands").alias("key"))
+    keys = nodes.filter("node <> 0").select("node", "size", "fp", F.explode("bands").alias("key"))
     shared = stored(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
-    sharing = stored(keys.join(shared, "key"), "sharing")  # a node's bands come along only where one is shared
+    sharing = stored(keys.join(shared, "key"), "sharing")
     met = stored(sharing.groupBy("node").agg(F.sum("n").alias("met")), "met")
     own, mark = free_name("__id", docs.columns), free_name("__md5", docs.columns)
     wanted = stored(nodes.join(met, "node", "left_semi").select("node", F.col("row.doc_id").alias(own), F.col("row.text_md5").alias(mark)), "wanted")
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("text_md5", text_md5(F.col("text")))
     texts = whole.join(wanted, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col("text_md5") == F.col(mark))).select("node", "text")
     sets = stored(set_table(texts.dropDuplicates(["node"])), "sets")
-    members = stored(sharing.join(met, "node").drop("n").join(sets.select("node", "wide"), "node"), "members")
-    roots = links(members, sets)
+    marks = stored(sets.select("node", "wide").join(nodes.select("node", "bands"), "node"), "marks")
+    roots = links(sharing.drop("n").join(met, "node"), marks, sets)
     found = stored(table.join(roots, "node", "left").select("doc_id", "text_md5", F.coalesce("root", "node").alias("component")), "linked")
-    forget(table, nodes, shared, sharing, met, sets)
+    forget(table, nodes, shared, sharing, met, sets, marks)
     return found
 
 
