@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -157,21 +158,86 @@ def best_window(a: str, b: str) -> float:
     return best
 
 
-_KINDS: dict[str, Callable[[str, str], float]] = {"edit": edit_ratio, "partial": best_window}
+#: Characters of the shorter string that one machine word holds, and windows that are matched together.
+WORD, TOGETHER = 64, 1 << 19
 
 
-def _ratio(kind: str) -> Callable:
-    measure = _KINDS[kind]
+def _masks(short: str, long: str) -> np.ndarray:
+    """For each character of ``long`` where it stands in ``short`` (at most ``WORD`` characters), as bits."""
+    a, b = (np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in (short, long))
+    return ((a[:, None] == b) * (np.uint64(1) << np.arange(len(a), dtype=np.uint64))[:, None]).sum(axis=0, dtype=np.uint64)
+
+
+def _lcs_of(masks: np.ndarray, begin: np.ndarray, size: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Longest common subsequences of many strings of ``width`` characters with the windows of ``masks``; all take a step together."""
+    order = np.argsort(-size, kind="stable")
+    begin, active = begin[order], -size[order]
+    rows = np.full(len(order), np.iinfo(np.uint64).max)
+    for step in range(int(size.max(initial=0))):
+        n = int(np.searchsorted(active, -step))  # windows longer than the steps so far
+        now = rows[:n]
+        hit = now & masks[begin[:n] + step]
+        rows[:n] = (now + hit) | (now - hit)
+    inside = np.full(len(width), np.iinfo(np.uint64).max) >> (WORD - width).astype(np.uint64)
+    out = np.empty(len(order), np.int64)
+    out[order] = width[order] - np.bitwise_count(rows & inside[order])
+    return out
+
 
+def _best_of(jobs: list[tuple[int, str, str]], windows: bool, out: list[float]) -> None:
+    """Raise ``out`` at each job's place to its best edit ratio, of the whole strings or of the windows."""
+    masks, at, begin, size, width, owner = [], 0, [], [], [], []
+    for place, short, long in jobs:
+        m, n = len(short), len(long)
+        masks.append(_masks(short, long))
+        if windows:
+            ends = np.arange(1, n + m)
+            first, last = np.maximum(0, ends - m), np.minimum(ends, n)
+        else:
+            first, last = np.zeros(1, np.int64), np.full(1, n)
+        begin.append(at + first)
+        size.append(last - first)
+        width.append(np.full(len(first), m))
+        owner.append(np.full(len(first), place))
+        at += n
+    flat = [np.concatenate(x) for x in (masks, begin, size, width, owner)]
+    shared = _lcs_of(*flat[:4])
+    best = np.zeros(len(out))
+    np.maximum.at(best, flat[4], 2.0 * shared / (flat[2] + flat[3]))
+    for place, _, _ in jobs:
+        out[place] = max(out[place], float(best[place]))
+
+
+def ratios_of(kind: str, pairs: list[tuple[str, str]]) -> list[float]:
+    """Edit ratios (``edit``) or best windows (``partial``) of pairs; those of a longer shorter string than a word one by one."""
+    out, jobs, lanes = [0.0] * len(pairs), [], 0
+    windows, alone = kind == "partial", {"edit": edit_ratio, "partial": best_window}[kind]
+    for place, (a, b) in enumerate(pairs):
+        short, long = (a, b) if len(a) <= len(b) else (b, a)
+        if not short or a == b or windows and short in long:
+            out[place] = 1.0 if a == b or short and windows and short in long else 0.0
+        elif len(short) > WORD:
+            out[place] = alone(a, b)
+        else:
+            jobs.append((place, short, long))
+            if windows and len(a) == len(b):
+                jobs.append((place, long, short))
+            lanes += (len(a) + len(b)) * (1 + windows)
+            if lanes >= TOGETHER:
+                _best_of(jobs, windows, out)
+                jobs, lanes = [], 0
+    if jobs:
+        _best_of(jobs, windows, out)
+    return out
+
+
+def _ratio(kind: str) -> Callable:
     @pandas_udf(DoubleType())
     def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple[str, str], float] = {}
-        out = []
-        for pair in zip(a, b, strict=True):
-            if pair not in known:
-                known[pair] = measure(*pair)
-            out.append(known[pair])
-        return pd.Series(out, dtype="float64")
+        pairs = list(zip(a, b, strict=True))
+        distinct = list(dict.fromkeys(pairs))
+        known = dict(zip(distinct, ratios_of(kind, distinct), strict=True))
+        return pd.Series([known[p] for p in pairs], dtype="float64")
 
     return ratios
 

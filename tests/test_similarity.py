@@ -42,6 +42,16 @@ def test_best_window_equals_all_windows():
         assert sim.best_window(a, b) == pytest.approx(1.0 if a in b or b in a else best)
 
 
+@pytest.mark.parametrize("together", [sim.TOGETHER, 100])
+def test_kernels_of_many_pairs_equal_those_of_one(together, monkeypatch):
+    monkeypatch.setattr(sim, "TOGETHER", together)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abc é漢\U0001f642") for _ in range(rng.choice([0, 1, 2, 9, 30, 63, 64, 65, 90])))
+    given = [(word(), word()) for _ in range(400)] + [("abc", "abc"), ("", ""), ("", "a")]
+    assert sim.ratios_of("edit", given) == pytest.approx([sim.edit_ratio(a, b) for a, b in given])
+    assert sim.ratios_of("partial", given) == pytest.approx([sim.best_window(a, b) for a, b in given])
+
+
 GUARDS = [("", "", 1.0), ("a", "", 0.0), ("", "a", 0.0)]
 
 
