@@ -4,8 +4,9 @@ import random
 
 import pytest
 
-from kithline.operators import blocking, candidates
-from kithline.schema import CAND, Settings
+from kithline import queries
+from kithline.operators import blocking, candidates, features
+from kithline.schema import CAND, S1, Settings
 
 from .test_linkage import found, register
 
@@ -30,3 +31,21 @@ def test_a_cap_makes_no_pairs_beyond_it(sides, monkeypatch):
         monkeypatch.setitem(blocking.STRATEGIES, name, refused)
     for k, pairs in want.items():
         assert found(candidates.generate(*sides, settings=Settings(max_candidates=k))) == pairs and len(pairs) > 100
+
+
+def test_texts_of_pairs_are_not_shuffled(sides, spark):
+    pairs = spark.createDataFrame([(f"S1-{k:03}", f"S2-{k % 7:03}") for k in range(40)], f"{S1} string, {CAND} string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = features.extract(pairs, sides[0], sides[1], only=["name_jaccard"])._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [candidate_entity_id" in plan
+
+
+def test_the_top_k_query_takes_blocks_where_a_join_is_large(sides, spark, monkeypatch):
+    monkeypatch.setattr(blocking, "JOIN_ROWS", 0)
+    monkeypatch.setattr(queries.Linkage, "sides", (sides[0], sides[1]))
+    taken, blocks = [], blocking._kernel_scores
+    monkeypatch.setattr(blocking, "_kernel_scores", lambda *a: taken.append(1) or blocks(*a))
+    assert queries.block_tfidf_topk(spark, "none").columns == [S1, CAND, "score"] and taken
