@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kithline import queries
 from kithline.operators import blocking, candidates, features
@@ -49,3 +50,30 @@ def test_the_top_k_query_takes_blocks_where_a_join_is_large(sides, spark, monkey
     taken, blocks = [], blocking._kernel_scores
     monkeypatch.setattr(blocking, "_kernel_scores", lambda *a: taken.append(1) or blocks(*a))
     assert queries.block_tfidf_topk(spark, "none").columns == [S1, CAND, "score"] and taken
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.fixture
+def linkage(sides, spark, monkeypatch):
+    """The queries' tables, of the records above."""
+    monkeypatch.setattr(queries.Linkage, "rows", sides[0].unionByName(sides[1]).unionByName(sides[2].filter("entity_id LIKE 'S3%'")))
+    monkeypatch.setattr(queries.Linkage, "register", queries.Linkage.rows.withColumn("shown", F.substring("entity_id", 4, 3).cast("int") % 5))
+    return queries.Linkage(spark, "none")
+
+
+def test_blocks_make_no_copies_of_names(sides, monkeypatch):
+    monkeypatch.setattr(blocking, "BLOCK_S1", 10)
+    plans, write = {}, blocking.stored
+    monkeypatch.setattr(blocking, "stored", lambda df, name: plans.setdefault(name, []).append(plan_of(df)) or write(df, name))
+    blocking.tfidf_scores(sides[0], sides[1], kernel=True)
+    assert len(plans["best-of-block"]) > 1 and not any("CoGroup" in p or "Generate" in p for p in plans["best-of-block"])
+
+
+def test_grouped_candidates_are_never_pairs(linkage, spark):
+    got = queries.candidates_grouped(spark, "none")
+    assert "Generate" not in plan_of(got)
+    pairs = found(linkage.pairs)
+    assert {(r[0], c) for r in got.collect() for c in r[1].split(",") if c} == pairs and len(pairs) > 100
