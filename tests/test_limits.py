@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithline import queries
-from kithline.operators import blocking, candidates, features
+from kithline.operators import blocking, candidates, decide, evaluate, features
 from kithline.schema import CAND, S1, Settings
 
 from .test_linkage import found, register
@@ -77,3 +77,17 @@ def test_grouped_candidates_are_never_pairs(linkage, spark):
     assert "Generate" not in plan_of(got)
     pairs = found(linkage.pairs)
     assert {(r[0], c) for r in got.collect() for c in r[1].split(",") if c} == pairs and len(pairs) > 100
+
+
+def test_lists_decide_and_cover_as_pairs_do(spark):
+    pairs = spark.createDataFrame([(f"S1-{k % 4}", f"S{2 + k % 2}-{k % 7}") for k in range(20)], f"{S1} string, {CAND} string").distinct()
+    lists, ids = candidates.as_lists(pairs), spark.createDataFrame([(f"S1-{k}",) for k in range(5)], f"{S1} string")
+    truth = spark.createDataFrame([("S1-0", "S2-0,S2-0,S3-1"), ("S1-1", "S2-6, S3-5"), ("S1-4", "S2-1"), ("S1-9", "")], f"{S1} string, matched_entity_ids string")
+    known = found(pairs)
+    listed = [(s, c.strip()) for s, ids_ in [("S1-0", "S2-0,S2-0,S3-1"), ("S1-1", "S2-6, S3-5"), ("S1-4", "S2-1")] for c in ids_.split(",")]
+    for offered in (pairs, lists):
+        row = evaluate.candidate_recall(offered, truth).first()
+        assert (row.n_true, row.n_covered) == (len(listed), sum(p in known for p in listed))
+        given = pairs.withColumn("is_match", F.lit(1)).union(spark.createDataFrame([("S1-3", "S2-99", 1), ("S1-4", "S2-1", 1)]))
+        got = {r[0]: r[1] for r in decide.match_output(given, ids, None, offered).collect()}
+        assert got == {f"S1-{k}": ",".join(sorted(c for s, c in known if s == f"S1-{k}")) for k in range(5)}
