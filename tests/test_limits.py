@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithline import queries
-from kithline.operators import blocking, candidates, decide, evaluate, features
+from kithline.operators import blocking, candidates, decide, evaluate, features, labels
 from kithline.schema import CAND, S1, Settings
 
 from .test_linkage import found, register
@@ -91,3 +91,15 @@ def test_lists_decide_and_cover_as_pairs_do(spark):
         given = pairs.withColumn("is_match", F.lit(1)).union(spark.createDataFrame([("S1-3", "S2-99", 1), ("S1-4", "S2-1", 1)]))
         got = {r[0]: r[1] for r in decide.match_output(given, ids, None, offered).collect()}
         assert got == {f"S1-{k}": ",".join(sorted(c for s, c in known if s == f"S1-{k}")) for k in range(5)}
+
+
+def test_tasks_get_few_candidates_at_a_time(sides, spark, monkeypatch):
+    pairs = spark.createDataFrame([(f"S1-{k % 40:03}", f"S2-{k % 45:03}") for k in range(200)], f"{S1} string, {CAND} string").distinct()
+    truth = spark.createDataFrame([("S1-001", "S2-001,S2-041"), ("S1-002", "S2-002")], f"{S1} string, matched_entity_ids string")
+    made = lambda: features.extract(candidates.as_lists(pairs), sides[0], sides[1], only=["name_jaccard", "addr_trigram_overlap"], truth=truth)
+    want = {tuple(r) for r in labels.label_pairs(features.extract(pairs, sides[0], sides[1], only=["name_jaccard", "addr_trigram_overlap"]), truth).collect()}
+    monkeypatch.setattr(features, "FEW", 9)
+    turns = made()
+    assert plan_of(turns).count("BroadcastHashJoin [candidate_entity_id") == 5 and {tuple(r) for r in turns.collect()} == want and sum(r[-1] for r in want) > 1
+    monkeypatch.setattr(features, "TURNS", 0)
+    assert {tuple(r) for r in made().collect()} == want
