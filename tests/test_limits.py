@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithline import queries
-from kithline.operators import blocking, candidates, decide, evaluate, features, labels
+from kithline.operators import blocking, candidates, decide, evaluate, features, labels, models
+from kithline.plans.linker import Linker
 from kithline.schema import CAND, S1, Settings
 
 from .test_linkage import found, register
@@ -103,3 +104,11 @@ def test_tasks_get_few_candidates_at_a_time(sides, spark, monkeypatch):
     assert plan_of(turns).count("BroadcastHashJoin [candidate_entity_id") == 5 and {tuple(r) for r in turns.collect()} == want and sum(r[-1] for r in want) > 1
     monkeypatch.setattr(features, "TURNS", 0)
     assert {tuple(r) for r in made().collect()} == want
+
+
+def test_scores_keep_no_features(sides, spark, monkeypatch):
+    monkeypatch.setattr(models, "predict_probability", lambda model, df: df.withColumn("probability", F.col("name_jaccard")))
+    linker = Linker(spark, Settings(), model="given")
+    pairs = spark.createDataFrame([("S1-001", "S2-001")], f"{S1} string, {CAND} string")
+    plan = plan_of(linker.score(pairs, sides[0], sides[1]))
+    assert "InMemoryTableScan" not in plan and "ratios" not in plan
