@@ -112,3 +112,17 @@ def test_scores_keep_no_features(sides, spark, monkeypatch):
     pairs = spark.createDataFrame([("S1-001", "S2-001")], f"{S1} string, {CAND} string")
     plan = plan_of(linker.score(pairs, sides[0], sides[1]))
     assert "InMemoryTableScan" not in plan and "ratios" not in plan
+
+
+def test_lists_are_turned_around_without_pairs(linkage, spark, monkeypatch):
+    monkeypatch.setattr(candidates, "TURNED", 50)
+    monkeypatch.setattr(candidates, "BUCKET", 20)
+    monkeypatch.setattr(queries.Linkage, "candidates", linkage.candidates)
+    got = queries.candidates_by_pool(spark, "none")
+    assert "Generate" not in plan_of(got) and "collect_set" not in plan_of(got)
+    pairs, pool = found(linkage.pairs), linkage.of("S2", "S3").select("entity_id")
+    want = {r[0]: ",".join(sorted(s for s, c in pairs if c == r[0])) for r in pool.collect()}
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.items()) and len(pairs) > 100
+    odd = spark.createDataFrame([("b,é", ["y", "z", "x"]), ("a", ["y"]), ("B", []), ("c", ["y"])], linkage.candidates.schema)
+    names = spark.createDataFrame([("y",), ("y",), ("z",), ("w",)], f"{CAND} string")
+    assert sorted(tuple(r) for r in candidates.by_candidate(odd, names).collect()) == [("w", ""), ("y", "a,b,é,c"), ("z", "b,é")]
