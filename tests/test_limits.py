@@ -1,6 +1,7 @@
 """What the linkage does not make on larger registers."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,12 @@ def test_lists_are_turned_around_without_pairs(linkage, spark, monkeypatch):
     odd = spark.createDataFrame([("b,é", ["y", "z", "x"]), ("a", ["y"]), ("B", []), ("c", ["y"])], linkage.candidates.schema)
     names = spark.createDataFrame([("y",), ("y",), ("z",), ("w",)], f"{CAND} string")
     assert sorted(tuple(r) for r in candidates.by_candidate(odd, names).collect()) == [("w", ""), ("y", "a,b,é,c"), ("z", "b,é")]
+
+
+def test_chunks_of_classes_are_dealt_by_their_pairs(sides, monkeypatch):
+    want = found(blocking.token_address(sides[0], sides[1]))
+    monkeypatch.setattr(blocking, "RARE_PAIRS", 0)
+    monkeypatch.setattr(blocking, "SALT_PAIRS", 20)
+    got = blocking.token_address(sides[0], sides[1])
+    tasks = int(re.search(r"RoundRobinPartitioning\((\d+)\)", plan_of(got))[1])
+    assert found(got) == want and len(want) > 100 and len(want) / 20 - 1 < tasks <= len(want) / 20 + 1
